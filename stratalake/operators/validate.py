@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from stratalake.functions.casting import cast_to_spec
 from stratalake.spec import columns_of, declared_type, is_compatible, quoted
 
-ERROR, WARNING = "error", "warning"
+ERROR, WARNING, INFO = "error", "warning", "info"
 
 
 class SchemaInvalid(ValueError):
@@ -91,17 +91,19 @@ def validate_schema(
     untyped: bool = False,
     by: str | None = None,
     ignore: tuple[str, ...] = (),
+    also: list[tuple[str, str, str, Column]] | None = None,
 ) -> DataFrame:
     """``(column, rule, level, violations, passed)``, one row per rule.
 
     ``untyped`` says the columns were read as strings: the type rule gives way to a cast rule
     (a value is present but does not fit its declared type). ``by`` names a column, such as
     the source file, to report each rule once per value of it: still one aggregate, combined
-    before the shuffle, so one large file costs no more than many small ones.
+    before the shuffle, so one large file costs no more than many small ones. ``also`` adds
+    the caller's own ``(column, rule, level, condition)`` to the aggregate.
     """
     ignore = ignore + ((by,) if by else ())
     known = structure_findings(df, schema, strict, untyped, ignore)
-    measured = violation_conditions(df, schema, untyped)
+    measured = violation_conditions(df, schema, untyped) + (also or [])
     counts = [F.count_if(cond).alias(f"v{i}") for i, (*_, cond) in enumerate(measured)]
     if not counts:
         counts = [F.count(F.lit(1)).alias("v")]

@@ -184,12 +184,14 @@ def _read_csv_files(spark, files, schema, options, report_errors) -> DataFrame:
     if str(options.get("header", "true")).lower() != "true":
         paths = [r.path for r in files.select("path").collect()]
         return _with_file(scan_csv(spark, paths, schema, options))
-    grouped = csv_headers(files, options).groupBy("header")
-    groups = grouped.agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    scans = []
-    for header, paths in sorted((list(r.header), list(r.paths)) for r in groups.collect()):
-        if header:
-            scans.append(_with_file(scan_csv(spark, paths, header, options)))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in csv_headers(files, options).collect():
+        groups.setdefault(tuple(r.header), []).append(r.path)
+    scans = [
+        _with_file(scan_csv(spark, sorted(paths), list(header), options))
+        for header, paths in sorted(groups.items())
+        if header
+    ]
     if not scans:
         names = declared_names(schema or [])
         empty = string_struct([*names, READ_ERROR, SOURCE_FILE])
