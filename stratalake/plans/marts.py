@@ -113,14 +113,10 @@ def sales_metrics(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -
     ).agg(
         F.count(F.lit(1)).alias("order_count"),
         _money(F.sum("units")).alias("units"),
-        F.sum("revenue").alias("total"),
+        _money(F.sum("revenue")).alias("revenue"),
     )
-    return grouped.withColumns(
-        {
-            "revenue": _money(F.col("total")),
-            "average_order_value": _money(F.col("total") / F.col("order_count")),
-        }
-    ).drop("total")
+    average = _money(F.col("revenue") / F.col("order_count"))
+    return grouped.withColumn("average_order_value", average)
 
 
 def operational_kpis(events: DataFrame) -> DataFrame:
