@@ -74,8 +74,8 @@ def daily_sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("l_partkey").cast("string").alias("product_code"),
         F.col("l_quantity").cast("int").cast("string").alias("quantity"),
-        F.expr(f"cast(cast({unit} as decimal(18,0)) * 0.01 as string)").alias("unit_price"),
-        F.expr(f"cast(cast({total} as decimal(18,0)) * 0.01 as string)").alias("total_amount"),
+        F.expr(f"cast(cast({unit} as decimal(10,0)) * 0.01 as string)").alias("unit_price"),
+        F.expr(f"cast(cast({total} as decimal(10,0)) * 0.01 as string)").alias("total_amount"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("o_orderstatus").alias("store_location"),
     )

@@ -1,4 +1,4 @@
-"""Data-quality checks, fused: all row-level checks share one aggregate over one scan.
+"""Data-quality checks, fused: all row-level checks share one aggregate over one evaluation.
 
 A check is a dictionary with a ``type``, an optional ``name`` and the parameters of its type:
 
@@ -24,7 +24,7 @@ import json
 from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,10 +56,12 @@ def named_checks(checks: list[dict[str, Any]]) -> list[dict[str, Any]]:
 def quality_results(df: DataFrame, checks: list[dict[str, Any]]) -> DataFrame:
     """One row per check: name, type, verdict, rows checked and failed, details as JSON.
 
-    Lazy. An unknown type or a column that does not exist gives a failed row, not an error.
+    Lazy, and the rows are evaluated once per distinct duplicate key, at least once: the
+    row-level counts ride along with the first key's grouping, so costly rows, such as a join,
+    are not computed again for them. An unknown type or a column that does not exist gives a
+    failed row, not an error.
     """
-    parts: list[DataFrame] = []
-    fused, duplicates, broken = [], {}, []
+    row_level, duplicates, broken = [], {}, []
     for check in named_checks(checks):
         problem = _problem(df, check)
         if problem:
@@ -67,25 +69,29 @@ def quality_results(df: DataFrame, checks: list[dict[str, Any]]) -> DataFrame:
         elif check["type"] == "duplicate_check":
             duplicates.setdefault(tuple(check["columns"]), []).append(check)
         else:
-            fused.append(check)
-    if fused or broken or not duplicates:
-        parts.append(_row_level(df, fused, broken))
-    for keys, group in duplicates.items():
-        parts.append(_duplicates(df, list(keys), group))
+            row_level.append(check)
+    key_sets = list(duplicates) or [()]
+    parts = [_measured(df, key_sets[0], duplicates.get(key_sets[0], []), row_level, broken)]
+    parts += [_measured(df, keys, duplicates[keys], [], []) for keys in key_sets[1:]]
     return reduce(DataFrame.unionAll, parts)
 
 
 def _problem(df: DataFrame, check: dict[str, Any]) -> str | None:
-    """Why a check cannot run, found by analysing its expressions; no job."""
+    """Why a check cannot run, found without a job."""
     try:
+        named = check["columns"] if "columns" in check else [check.get("column")]
+        missing = [c for c in named if c is not None and c not in df.columns]
+        if missing:
+            return f"no column {missing}"
         if check["type"] == "duplicate_check":
-            df.select(*[quoted(c) for c in check["columns"]]).schema
-        else:
-            df.select(*[c for _, c in _conditions(check)]).schema
+            return None
+        conditions = _conditions(check)
+        if check["type"] == "custom_sql":
+            df.select(*[c for _, c in conditions]).schema
     except (SpecError, KeyError, ValueError) as e:
         return f"{type(e).__name__}: {e}"
-    except AnalysisException as e:
-        return e.getCondition() or "AnalysisException"
+    except (AnalysisException, ParseException) as e:
+        return e.getCondition() or type(e).__name__
     return None
 
 
@@ -113,22 +119,31 @@ def _conditions(check: dict[str, Any]) -> list[tuple[str, Column]]:
     raise ValueError(f"unknown check type: {kind}")
 
 
-def _row_level(df: DataFrame, checks: list, broken: list) -> DataFrame:
-    counts, rows = [F.count(F.lit(1)).alias("total")], []
-    for i, check in enumerate(checks):
-        names = []
+def _measured(
+    df: DataFrame, keys: tuple[str, ...], duplicates: list, row_level: list, broken: list
+) -> DataFrame:
+    """The results of checks that share one evaluation of the rows."""
+    counts, rows = {}, []
+    for i, check in enumerate(row_level):
+        labelled = []
         for j, (label, condition) in enumerate(_conditions(check)):
-            counts.append(F.count_if(condition).alias(f"c{i}_{j}"))
-            names.append((label, F.col(f"c{i}_{j}")))
-        rows.append(_row_level_result(check, names))
+            counts[f"c{i}_{j}"] = F.count_if(condition)
+            labelled.append((label, F.col(f"c{i}_{j}")))
+        rows.append(_row_level_result(check, labelled))
+    rows += [_duplicate_result(check) for check in duplicates]
     rows += [_broken_result(check, problem) for check, problem in broken]
-    return df.agg(*counts).select(F.inline(F.array(*rows))) if rows else _empty(df, counts)
-
-
-def _empty(df: DataFrame, counts: list[Column]) -> DataFrame:
-    """No checks at all: no rows, in the shape of results."""
-    row = _result({"name": "", "type": ""}, F.lit(True), F.lit(0), F.lit(None), F.lit(None))
-    return df.agg(*counts).select(F.inline(F.slice(F.array(row), 1, 0)))
+    counts["total"] = F.count(F.lit(1))
+    named = [c.alias(n) for n, c in counts.items()]
+    if keys:
+        groups = df.groupBy(*[quoted(k) for k in keys]).agg(*named)
+        summed = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts]
+        totals = groups.agg(F.count(F.lit(1)).alias("distinct"), *summed)
+    else:
+        totals = df.agg(*named)
+    if rows:
+        return totals.select(F.inline(F.array(*rows)))
+    nothing = _result({"name": "", "type": ""}, F.lit(True), F.lit(0), F.lit(None), F.lit(None))
+    return totals.select(F.inline(F.slice(F.array(nothing), 1, 0)))
 
 
 def _row_level_result(check: dict[str, Any], counts: list[tuple[str, Column]]) -> Column:
@@ -152,24 +167,16 @@ def _broken_result(check: dict[str, Any], problem: str) -> Column:
     return _result(check, F.lit(False), F.lit(None), F.lit(None), details)
 
 
-def _duplicates(df: DataFrame, keys: list[str], checks: list[dict[str, Any]]) -> DataFrame:
-    groups = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    totals = groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct")
+def _duplicate_result(check: dict[str, Any]) -> Column:
+    total, distinct = F.col("total"), F.col("distinct")
+    extra = total - distinct
+    counts = F.struct(
+        total.alias("total_rows"),
+        distinct.alias("distinct_rows"),
+        extra.alias("duplicate_count"),
     )
-    extra = F.col("total") - F.col("distinct")
-    details = F.to_json(
-        F.struct(
-            F.col("total").alias("total_rows"),
-            F.col("distinct").alias("distinct_rows"),
-            extra.alias("duplicate_count"),
-        )
-    )
-    rows = [
-        _result(c, extra <= F.lit(c.get("threshold", 0)), extra, F.lit(None), details)
-        for c in checks
-    ]
-    return totals.select(F.inline(F.array(*rows)))
+    passed = extra <= F.lit(check.get("threshold", 0))
+    return _result(check, passed, extra, F.lit(None), F.to_json(counts))
 
 
 def _result(

@@ -13,12 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+# A line's price and rate are declared just wide enough that their product has 18 digits, which
+# Spark computes on plain integers; one digit more would make every row a big-decimal object.
+LINE_PRICE, RATE, QUANTITY = "decimal(11,2)", "decimal(5,4)", "decimal(8,2)"
 
 
 def line_revenue() -> Column:
     """Discounted price of one order line, exact."""
-    rate = F.col("l_discount").cast("decimal(6,4)")
-    return F.col("l_extendedprice").cast(MONEY) * (F.lit(1).cast("decimal(6,4)") - rate)
+    paid = F.lit(1).cast(RATE) - F.col("l_discount").cast(RATE)
+    return F.col("l_extendedprice").cast(LINE_PRICE) * paid
 
 
 def _money(value: Column) -> Column:
@@ -101,7 +104,7 @@ def sales_metrics(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -
     distinct, and the join moves a fraction of the lines.
     """
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_quantity").cast(MONEY)).alias("units"),
+        F.sum(F.col("l_quantity").cast(QUANTITY)).alias("units"),
         F.sum(line_revenue()).alias("revenue"),
     )
     sold = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

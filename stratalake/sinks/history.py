@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,15 +26,13 @@ class HistoryStore:
         self.spec = Scd2Spec.of(spec)
         self.epochs = path.rstrip("/") + "/epochs"
         self.commits = path.rstrip("/") + "/commits"
+        self.batches = path.rstrip("/") + "/batches"
+        none = spark.createDataFrame([], "epoch bigint")
+        none.write.mode("ignore").parquet(self.commits)
 
     def latest(self) -> int | None:
         """The newest committed epoch, a single number; None for a store without commits."""
-        try:
-            commits = self.spark.read.schema("epoch bigint").parquet(self.commits)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        commits = self.spark.read.schema("epoch bigint").parquet(self.commits)
         return commits.agg(F.max("epoch")).first()[0]
 
     def read(self) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators.scd2 import apply_changes, build_history
 from stratalake.sinks.history import HistoryStore
+from stratalake.spec import quoted
 
 
 def maintain_history(
@@ -22,16 +23,25 @@ def maintain_history(
     on how the feed falls into micro-batches. The batch number is the store's epoch: a batch
     that Spark repeats finds itself committed and does nothing. Changes of one member must
     arrive in time order across batches.
+
+    A batch is read several times, and a stream's batch is neither columnar nor of known size.
+    So the columns in use are first stored next to the dimension, and read from there.
     """
+    ties = tie_breakers or []
+    spec = store.spec
+    needed = list(dict.fromkeys([*spec.keys, *spec.payload, *ties, time]))
 
     def apply(batch: DataFrame, number: int) -> None:
         newest = store.latest()
         if newest is not None and number <= newest:
             return
+        staged = f"{store.batches}/epoch={number}"
+        batch.select(*[quoted(c) for c in needed]).write.mode("overwrite").parquet(staged)
+        feed = batch.sparkSession.read.schema(batch.select(*needed).schema).parquet(staged)
         if newest is None:
-            rows = build_history(batch, store.spec, time, tie_breakers)
+            rows = build_history(feed, spec, time, ties)
         else:
-            rows = apply_changes(store.current(), batch, store.spec, time, tie_breakers)
+            rows = apply_changes(store.current(), feed, spec, time, ties)
         store.commit(rows, number)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
