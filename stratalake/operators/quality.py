@@ -24,12 +24,15 @@ import json
 from functools import reduce
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.spec import SpecError, check_bounds, quoted
 
+# How Spark reports a query that failed while running, translated or not.
+FAILURES = (PySparkException, Py4JJavaError)
 RESULT_COLUMNS = [
     "check_name", "check_type", "passed", "records_checked", "records_failed",
     "failed_columns", "details",
@@ -237,7 +240,7 @@ def run_quality_checks(df: DataFrame, checks: list[dict[str, Any]]) -> dict[str,
     """
     try:
         rows = quality_results(df, checks).collect()
-    except PySparkException:
+    except FAILURES:
         rows = [r for c in named_checks(checks) for r in _run_alone(df, c)]
     found = {r.check_name: r for r in rows}
     ordered = [found[c["name"]] for c in named_checks(checks)]
@@ -257,8 +260,9 @@ def run_quality_checks(df: DataFrame, checks: list[dict[str, Any]]) -> dict[str,
 def _run_alone(df: DataFrame, check: dict[str, Any]) -> list:
     try:
         return quality_results(df, [check]).collect()
-    except PySparkException as e:
-        row = _broken_result(check, e.getCondition() or type(e).__name__)
+    except FAILURES as e:
+        reason = e.getCondition() if isinstance(e, PySparkException) else None
+        row = _broken_result(check, reason or type(e).__name__)
         return df.agg(F.count(F.lit(1)).alias("total")).select(F.inline(F.array(row))).collect()
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -115,11 +116,7 @@ def scan_jdbc_many(
             frames[t["name"]] = scan_jdbc(
                 spark, connection, table, schema, t.get("partition"), t.get("predicates"), options
             )
-        except (PySparkException, ValueError) as e:
-            errors[t["name"]] = str(e)
-        except Exception as e:  # errors of the database driver arrive untranslated
-            if "Py4JJavaError" not in type(e).__name__:
-                raise
+        except (PySparkException, Py4JJavaError, ValueError) as e:
             errors[t["name"]] = str(e)
     return frames, errors
 
