@@ -2,13 +2,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratalake.operators import scd2
 from stratalake.sinks.history import HistoryStore
-from tests.conftest import rows_of
+from tests.conftest import FAILURES, rows_of
 
 SPEC = {
     "business_keys": ["id"],
@@ -16,7 +14,6 @@ SPEC = {
     "update_only_columns": ["u"],
 }
 FIELDS = "id int, a string, b string, u int"
-FAILURES = (PySparkException, Py4JJavaError)
 D1, D2, D3 = "2024-01-01", "2024-02-01", "2024-03-01"
 VIEW = ["id", "a", "b", "u", "version", "is_current"]
 
