@@ -52,14 +52,15 @@ def target(folder: str, label: str, **more) -> dict:
 def orders_for_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", day, "o_orderpriority"
+        "o_orderkey", "o_custkey", "o_totalprice", day, "o_orderpriority", "o_orderstatus"
     )
 
 
 @query("scan_csv", ORDERS_SQL)
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "scan-csv")
-    write_files(orders_for_files(spark, sf_dir), folder, "csv", options={"header": "true"})
+    rows = orders_for_files(spark, sf_dir).select(*ORDER_NAMES)
+    write_files(rows, folder, "csv", options={"header": "true"})
     text = sources.scan_csv(spark, folder, ORDERS)
     return enforce_schema(text.drop(sources.READ_ERROR), ORDERS)
 
@@ -119,15 +120,13 @@ def workbook_bytes(names: list[str], rows: list[list]) -> bytes:
 
 
 def write_workbooks(df: DataFrame, folder: str) -> None:
-    """Store rows as workbooks, each task its own, named by content so that a retry repeats it."""
+    """Store rows as workbooks, one per Arrow batch, named by content so a retry repeats it."""
     names = df.columns
 
     def store(batches: Iterator) -> Iterator:
         import hashlib
 
-        from pyarrow import fs
-
-        system, root = fs.FileSystem.from_uri(folder)
+        system, root = sources.file_system(folder)
         system.create_dir(root, recursive=True)
         for rows in batches:
             content = workbook_bytes(names, rows.values.tolist())
@@ -156,7 +155,7 @@ def scan_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     names = sources.declared_names(schema)
     folder = scratch_dir(spark, "scan-excel")
-    write_workbooks(table(spark, sf_dir, "customer").select(*names).repartition(4), folder)
+    write_workbooks(table(spark, sf_dir, "customer").select(*names), folder)
     options = {"sheet_name": "Customers", "pathGlobFilter": "*.xlsx"}
     text = scan_excel(spark, folder, options, names)
     return enforce_schema(text.select(*names), schema)
@@ -213,15 +212,9 @@ def incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_split_orders(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Two folders of CSV files: the second with columns in another order and one more."""
-    day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
-    orders = table(spark, sf_dir, "orders")
-    options = {"header": "true"}
-    old = orders.filter("o_orderstatus = 'F'").select(
-        "o_orderkey", "o_custkey", "o_totalprice", day, "o_orderpriority"
-    )
-    new = orders.filter("o_orderstatus <> 'F'").select(
-        "o_orderstatus", "o_orderpriority", day, "o_totalprice", "o_custkey", "o_orderkey"
-    )
+    orders, options = orders_for_files(spark, sf_dir), {"header": "true"}
+    old = orders.filter("o_orderstatus = 'F'").drop("o_orderstatus")
+    new = orders.filter("o_orderstatus <> 'F'").select(*reversed(orders.columns))
     write_files(old, folder, "csv", "append", options)
     write_files(new, folder, "csv", "append", options)
 
@@ -361,20 +354,8 @@ def watermark_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = target(scratch_dir(spark, "watermarks"), "watermarks", **control.WATERMARKS)
     ensure_table(spark, place)
     at = F.make_timestamp("y", F.lit(12), F.lit(31), F.lit(0), F.lit(0), F.lit(0))
-    rows = control.watermark_row(advanced, "erp", "orders", "o_orderdate", at)
-    per_table = control.watermark_row(
-        advanced.withColumn("watermark_value", F.concat_ws("|", "o_orderstatus", "watermark_value")),
-        "erp", "orders", "o_orderdate", at,
-    )
-    named = per_table.withColumns(
-        {
-            "table_name": F.concat(
-                F.lit("orders_"), F.substring_index("watermark_value", "|", 1)
-            ),
-            "watermark_value": F.substring_index("watermark_value", "|", -1),
-        }
-    )
-    write_table(named.select(*rows.columns), place)
+    name = F.concat(F.lit("orders_"), "o_orderstatus")
+    write_table(control.watermark_row(advanced, "erp", name, "o_orderdate", at), place)
     return latest_watermarks(spark.table(table_name(place))).drop("last_updated")
 
 
@@ -430,9 +411,7 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that arrive between runs load once, whatever their header; a third run adds nothing."""
     folder = scratch_dir(spark, "bronze")
     inbox, options = f"{folder}/inbox", {"header": "true"}
-    orders = orders_for_files(spark, sf_dir).join(
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey"
-    )
+    orders = orders_for_files(spark, sf_dir)
     source = {
         "name": "orders_csv",
         "type": "csv",
@@ -468,7 +447,7 @@ def stream_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "stream-ingest")
     inbox = f"{folder}/inbox"
     source = {"name": "orders_stream", "type": "csv", "schema": ORDERS}
-    orders = orders_for_files(spark, sf_dir)
+    orders = orders_for_files(spark, sf_dir).select(*ORDER_NAMES)
     for part in ("o_totalprice < 200000", "o_totalprice >= 200000", None):
         if part:
             write_files(orders.filter(part), inbox, "csv", "append", {"header": "true"})

@@ -73,21 +73,18 @@ def _with_keys(df: DataFrame, s: Scd2Spec) -> DataFrame:
     return require(df, present, f"null in business key {list(s.keys)}")
 
 
-def _one_row_per_key(snapshot: DataFrame, s: Scd2Spec) -> DataFrame:
-    """The snapshot as ``keys, __new``, failing on a null or repeated business key.
+def _checked(snapshot: DataFrame, s: Scd2Spec) -> DataFrame:
+    """The snapshot, failing the query on a null or repeated business key.
 
-    Grouping leaves the rows distributed by key, which the join that follows needs anyway,
-    so the check costs no shuffle of its own.
+    Repeats are counted by a subquery over the key columns alone, combined before its shuffle,
+    so the check never moves or sorts the other columns and a key repeated very often costs
+    no more than one repeated twice.
     """
-    rest = [c for c in snapshot.columns if c not in s.keys]
-    grouped = _with_keys(snapshot, s).groupBy(*[quoted(k) for k in s.keys]).agg(
-        F.count(F.lit(1)).alias("__copies"),
-        F.first(F.struct(*[quoted(c) for c in rest])).alias("__new"),
-    )
-    single = require(
-        grouped, F.col("__copies") == 1, f"business key {list(s.keys)} repeats in the snapshot"
-    )
-    return single.select(*[quoted(k) for k in s.keys], "__new")
+    complete = _with_keys(snapshot, s)
+    groups = complete.groupBy(*[quoted(k) for k in s.keys]).agg(F.count(F.lit(1)).alias("n"))
+    repeated = groups.filter("n > 1").agg(F.count(F.lit(1)).alias("n")).scalar()
+    message = f"business key {list(s.keys)} repeats in the snapshot"
+    return require(complete, repeated == 0, message)
 
 
 def initial_load(
@@ -98,19 +95,13 @@ def initial_load(
 ) -> DataFrame:
     """Version 1 of every member of the first snapshot."""
     s = Scd2Spec.of(spec)
-    hashed = snapshot.withColumn("__hash", record_hash(snapshot, list(s.tracked)))
-    rows = _one_row_per_key(hashed, s)
-    new = F.col("__new")
-    data = [
-        quoted(c) if c in s.keys else new.getField(c).alias(c) for c in snapshot.columns
-    ]
-    return rows.select(
-        *data,
+    return _checked(snapshot, s).select(
+        *[quoted(c) for c in snapshot.columns],
         _moment(as_of).cast(time_type).alias(s.valid_from),
         F.lit(None).cast(time_type).alias(s.valid_to),
         F.lit(True).alias(s.is_current),
         F.lit(1).alias(s.version),
-        new.getField("__hash").alias(s.hash),
+        record_hash(snapshot, list(s.tracked)).alias(s.hash),
     )
 
 
@@ -145,12 +136,14 @@ def merge_current(
     data = [c for c in current_rows.columns if c not in s.metadata]
     carried = [c for c in data if c in snapshot.columns]
     typed = snapshot.select(*[quoted(c).cast(types[c]).alias(c) for c in carried])
-    typed = typed.withColumn("__hash", record_hash(typed, list(s.tracked)))
     keys = [quoted(k) for k in s.keys]
     before = current_rows.select(
         *keys, F.struct(*[quoted(c) for c in current_rows.columns]).alias("__old")
     )
-    joined = before.join(_one_row_per_key(typed, s), list(s.keys), "full_outer")
+    rest = [quoted(c) for c in carried if c not in s.keys]
+    after = F.struct(*rest, record_hash(typed, list(s.tracked)).alias("__hash"))
+    arrived = _checked(typed, s).select(*keys, after.alias("__new"))
+    joined = before.join(arrived, list(s.keys), "full_outer")
 
     old, new = F.col("__old"), F.col("__new")
     at = _moment(as_of).cast(types[s.valid_from])

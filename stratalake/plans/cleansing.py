@@ -10,13 +10,17 @@ A definition is a dictionary::
         {"type": "standardization", "rules": {column: [rule, ...]}},
         {"type": "derived_columns", "columns": [{"name": ..., "expression": ...}]},
         {"type": "deduplicate", "keys": [...], "order_by": [...]}],
-     "change_data_capture": {...Scd2Spec..., "type": "scd_type_2"},
+     "change_data_capture": {...scd2 specification..., "type": "scd_type_2"},
      "write_mode": "overwrite", "partition_by": [...]}
+
+Before the steps may run ``"sql"``, a statement over ``{source_table}`` with ``"args"``, or
+``"transform"``, a callable from DataFrame to DataFrame with ``"config"``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,9 @@ from stratalake.operators.columns import (
 )
 from stratalake.operators.dedup import deduplicate_latest
 from stratalake.operators.quality import enforce_gate, quality_results
+from stratalake.operators.scd2 import initial_load, merge_current
+from stratalake.plans.transforms import df_transform, sql_transform
+from stratalake.sinks.history import HistoryStore
 from stratalake.sinks.tables import table_name, write_table
 
 
@@ -64,16 +71,38 @@ def run_cleansing(
     definition: dict[str, Any],
     fail_on_error: bool = True,
     max_error_threshold: int = 0,
+    as_of: datetime | str | None = None,
 ) -> int:
     """Read the source table, decide by its checks, write the target; returns the row count.
 
-    The checks run on the stored table, a pruned scan each, before anything is written.
+    The checks run on the stored table, a pruned scan each, before anything is written. With
+    change data capture the target's ``path`` is a ``HistoryStore``, which the cleansed rows
+    join as a snapshot taken at ``as_of``.
     """
-    source = spark.table(table_name(definition["source"]))
-    cleansed = apply_steps(source, definition.get("transformations", []))
+    rows = spark.table(table_name(definition["source"]))
+    if "sql" in definition:
+        rows = sql_transform(spark, definition["sql"], definition.get("args"), source_table=rows)
+    if "transform" in definition:
+        rows = df_transform(rows, definition["transform"], **definition.get("config", {}))
+    cleansed = apply_steps(rows, definition.get("transformations", []))
     for results in cleansed.checks:
         enforce_gate(results, fail_on_error, max_error_threshold)
     target = dict(definition["target"])
+    if "change_data_capture" in definition:
+        return _keep_history(spark, cleansed.rows, definition["change_data_capture"], target, as_of)
     if definition.get("partition_by"):
         target["partition_columns"] = definition["partition_by"]
     return write_table(cleansed.rows, target, definition.get("write_mode", "overwrite"))
+
+
+def _keep_history(spark, snapshot, capture, target, as_of) -> int:
+    if capture.get("type") != "scd_type_2":
+        raise ValueError(f"unknown change data capture: {capture.get('type')}")
+    if as_of is None:
+        raise ValueError("a snapshot needs the time it was taken")
+    store = HistoryStore(spark, target["path"], capture)
+    newest = store.latest()
+    if newest is None:
+        return store.commit(initial_load(snapshot, store.spec, as_of), 0)
+    merged = merge_current(store.current(), snapshot, store.spec, as_of)
+    return store.commit(merged, newest + 1)

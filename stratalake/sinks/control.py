@@ -109,7 +109,7 @@ def rows_per_file(data: DataFrame, files: DataFrame, file_column: str = "source_
 def watermark_row(
     advanced: DataFrame,
     source_name: str,
-    table_name: str,
+    table_name: str | Column,
     column: str,
     at: datetime | Column,
     environment: str = "dev",
@@ -117,7 +117,7 @@ def watermark_row(
     """The new cursor value as a row, or no row where nothing new was read."""
     values = {
         "source_name": F.lit(source_name),
-        "table_name": F.lit(table_name),
+        "table_name": table_name if isinstance(table_name, Column) else F.lit(table_name),
         "watermark_column": F.lit(column),
         "watermark_value": F.col("watermark_value"),
         "last_updated": at if isinstance(at, Column) else F.lit(at),

@@ -136,14 +136,17 @@ def csv_headers(files: DataFrame, options: dict[str, Any] | None = None) -> Data
 
 def open_input(path: str):
     """Open a listed file inside a task, through the file system its scheme names."""
+    system, inner = file_system(path)
+    return system.open_input_stream(inner)
+
+
+def file_system(path: str):
+    """The file system of a path as Spark writes paths, and the path within it."""
     from pyarrow import fs
 
-    uri = "file://" + path[5:] if path.startswith("file:/") and path[5:7] != "//" else path
-    if uri.startswith("file://"):
-        system, inner = fs.LocalFileSystem(), uri[7:]
-    else:
-        system, inner = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-    return system.open_input_stream(inner)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 def read_many(

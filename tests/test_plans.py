@@ -86,12 +86,13 @@ def test_current_rows_are_a_pruned_read(spark, frame, tmp_path):
     assert "is_current" in filters
 
 
-def test_merge_shuffles_each_side_once(spark, frame):
+def test_merge_joins_once_and_sorts_no_payload_for_its_check(spark, frame):
     current = frame(
-        FIELDS + ", valid_from timestamp, valid_to timestamp, is_current boolean, version int, hash string"
+        FIELDS
+        + ", valid_from timestamp, valid_to timestamp, is_current boolean, version int, hash string"
     )
-    merged = scd2.merge_current(current, frame(FIELDS), SPEC, D1)
-    assert shuffles(merged) == 2
+    text = plan(scd2.merge_current(current, frame(FIELDS), SPEC, D1))
+    assert text.count("SortMergeJoin") == 1 and "SortAggregate" not in text
 
 
 def test_history_moves_the_feed_once(spark):
