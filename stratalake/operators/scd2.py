@@ -274,9 +274,8 @@ def build_history(
     rows = feed.select(
         *[quoted(c) for c in [*s.keys, *s.payload, *ties]],
         quoted(time).alias(s.valid_from),
-        F.lit(None).cast("int").alias("__base"),
     )
-    return _versions(_with_keys(rows, s), s, ties, rows_per_split)
+    return _versions(_with_keys(rows, s), s, ties, rows_per_split, seeded=False)
 
 
 def apply_changes(
@@ -311,11 +310,20 @@ def apply_changes(
         quoted(s.version).alias("__base"),
     )
     untouched = current_rows.join(touched, keys, "left_anti")
-    versions = _versions(rows.unionByName(seeds), s, ties, rows_per_split)
+    versions = _versions(rows.unionByName(seeds), s, ties, rows_per_split, seeded=True)
     return untouched.select(*versions.columns).unionByName(versions)
 
 
-def _versions(rows: DataFrame, s: Scd2Spec, ties: list[str], rows_per_split: int) -> DataFrame:
+LATE = "a change is not later than the start of its member's current version"
+
+
+def _versions(
+    rows: DataFrame, s: Scd2Spec, ties: list[str], rows_per_split: int, seeded: bool
+) -> DataFrame:
+    """Number and close the versions in a feed.
+
+    ``seeded`` feeds hold current rows among the changes: ``__base``, their version, marks them.
+    """
     keys, start = [quoted(k) for k in s.keys], quoted(s.valid_from)
     rows = require(rows, start.isNotNull(), "null change time")
     hot = F.broadcast(hot_keys(rows, list(s.keys), s.valid_from, rows_per_split, HOT_SHARE))
@@ -323,13 +331,9 @@ def _versions(rows: DataFrame, s: Scd2Spec, ties: list[str], rows_per_split: int
 
     # One shuffle by key and split serves all the windows below; they share its sort order.
     w = Window.partitionBy(*keys, SPLIT).orderBy(start, *[quoted(c) for c in ties])
-    seed = F.col("__base").isNotNull()
-    timed = split.withColumns(
-        {"__later": F.lead(start).over(w), "__earlier": F.lag(start).over(w)}
-    )
-    alone = F.col("__earlier").isNull() & ~F.coalesce(F.col("__later") == start, F.lit(False))
-    message = f"a change is not later than {s.valid_from} of its member's current version"
-    timed = require(timed, ~seed | alone, message)
+    timed = split.withColumn("__later", F.lead(start).over(w))
+    if seeded:
+        timed = _seeds_first(timed, s, w)
     timed = timed.filter(F.col("__later").isNull() | (F.col("__later") != start))
     state = F.struct(*[quoted(c) for c in s.tracked])
     ordered = timed.withColumn("__state", state).withColumns(
@@ -338,17 +342,16 @@ def _versions(rows: DataFrame, s: Scd2Spec, ties: list[str], rows_per_split: int
     differs = ~F.col("__state").eqNullSafe(F.col("__before"))
     marked = ordered.withColumn("__inner", (F.col("__n") > 1) & differs)
 
-    edges = _edges(marked, s, message)
-    joined = left_join(marked, edges, [*s.keys, SPLIT])
-    joined = joined.withColumn(
-        "__change",
-        F.when(F.col("__n") == 1, F.coalesce("__opens", F.lit(True))).otherwise(F.col("__inner")),
+    joined = left_join(marked, _edges(marked, s, seeded), [*s.keys, SPLIT])
+    change = F.when(F.col("__n") == 1, F.coalesce("__opens", F.lit(True)))
+    offset = F.coalesce("__offset", F.lit(0))
+    if seeded:
+        own = F.max("__base").over(Window.partitionBy(*keys, SPLIT))
+        offset = offset + F.coalesce("__edge_base", own, F.lit(1)) - 1
+    joined = joined.withColumns(
+        {"__change": change.otherwise(F.col("__inner")), "__offset": offset}
     )
-    everywhere = Window.partitionBy(*keys, SPLIT)
-    base = F.coalesce("__edge_base", F.max("__base").over(everywhere), F.lit(1)) - 1
-    offset = F.coalesce("__offset", F.lit(0)) + base
-    build = _with_last_update if s.update_only else _changes_only
-    out = build(joined.withColumn("__offset", offset), s, w)
+    out = (_with_last_update if s.update_only else _changes_only)(joined, s, w)
     ended = quoted(s.valid_to)
     out = out.withColumns(
         {s.is_current: ended.isNull(), s.hash: record_hash(out, list(s.tracked))}
@@ -356,7 +359,15 @@ def _versions(rows: DataFrame, s: Scd2Spec, ties: list[str], rows_per_split: int
     return out.select(*[quoted(c) for c in [*s.keys, *s.payload, *s.metadata]])
 
 
-def _edges(marked: DataFrame, s: Scd2Spec, message: str) -> DataFrame:
+def _seeds_first(timed: DataFrame, s: Scd2Spec, w: Window) -> DataFrame:
+    """Fail where a change does not come after its member's current row."""
+    start, seed = quoted(s.valid_from), F.col("__base").isNotNull()
+    first = F.lag(start).over(w).isNull()
+    alone = first & ~F.coalesce(F.col("__later") == start, F.lit(False))
+    return require(timed.withColumn("__alone", alone), ~seed | F.col("__alone"), LATE)
+
+
+def _edges(marked: DataFrame, s: Scd2Spec, seeded: bool) -> DataFrame:
     """What each split of a frequent key must know of its neighbours.
 
     ``__opens``: its first row starts a version; ``__offset``: versions before it;
@@ -365,22 +376,26 @@ def _edges(marked: DataFrame, s: Scd2Spec, message: str) -> DataFrame:
     """
     keys, start = [quoted(k) for k in s.keys], quoted(s.valid_from)
     inner = F.col("__inner")
+    base = F.max("__base") if seeded else F.lit(None).cast("int")
     summary = marked.filter(F.col(SPLIT) > 0).groupBy(*keys, SPLIT).agg(
         F.min_by("__state", "__n").alias("__first"),
         F.max_by("__state", "__n").alias("__last"),
         F.min(start).alias("__first_time"),
         F.min(F.when(inner, start)).alias("__first_inner"),
         F.count_if(inner).alias("__inner_changes"),
-        F.max("__base").alias("__base"),
+        base.alias("__edge_base"),
     )
     forward = Window.partitionBy(*keys).orderBy(SPLIT)
     backward = Window.partitionBy(*keys).orderBy(F.col(SPLIT).desc())
     linked = summary.withColumns(
         {"__place": F.row_number().over(forward), "__carry": F.lag("__last").over(forward)}
     )
-    in_order = F.col("__base").isNull() | (F.col("__place") == 1)
-    linked = require(linked, in_order, message)
-    opens = (F.col("__place") == 1) | ~F.col("__first").eqNullSafe(F.col("__carry"))
+    first = F.col("__place") == 1
+    if seeded:
+        linked = require(linked, F.col("__edge_base").isNull() | first, LATE)
+        whole = F.max("__edge_base").over(Window.partitionBy(*keys))
+        linked = linked.withColumn("__edge_base", whole)
+    opens = first | ~F.col("__first").eqNullSafe(F.col("__carry"))
     linked = linked.withColumn("__opens", opens).withColumns(
         {
             "__changes": F.col("__inner_changes") + F.col("__opens").cast("bigint"),
@@ -389,18 +404,15 @@ def _edges(marked: DataFrame, s: Scd2Spec, message: str) -> DataFrame:
             ),
         }
     )
-    preceding = (Window.unboundedPreceding, -1)
+    before = forward.rowsBetween(Window.unboundedPreceding, -1)
+    after = backward.rowsBetween(Window.unboundedPreceding, -1)
     return linked.select(
         *keys,
         SPLIT,
         "__opens",
-        F.coalesce(F.sum("__changes").over(forward.rowsBetween(*preceding)), F.lit(0)).alias(
-            "__offset"
-        ),
-        F.last("__first_change", ignorenulls=True)
-        .over(backward.rowsBetween(*preceding))
-        .alias("__next_change"),
-        F.max("__base").over(Window.partitionBy(*keys)).alias("__edge_base"),
+        "__edge_base",
+        F.coalesce(F.sum("__changes").over(before), F.lit(0)).alias("__offset"),
+        F.last("__first_change", ignorenulls=True).over(after).alias("__next_change"),
     )
 
 
