@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -355,7 +353,7 @@ def silver_df_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def enrich(df: DataFrame, factor: int) -> DataFrame:
         doubled = df.select("o_orderkey", (F.col("o_totalprice") * factor).alias("doubled"))
-        at = F.lit(datetime(2024, 1, 15, 7)).cast("timestamp_ntz")
+        at = F.lit("2024-01-15 07:00:00").cast("timestamp_ntz")
         return add_processed_timestamp(doubled, at)
 
     return df_transform(table(spark, sf_dir, "orders"), enrich, factor=2)

@@ -16,7 +16,7 @@ from queries.registry import query, table
 from stratalake.functions.shipping import by_value
 from stratalake.operators.enforce import enforce_schema
 from stratalake.operators.quality import quality_results
-from stratalake.plans.ingest import ingest_files
+from stratalake.plans.ingest import ingest_files, ingest_table
 from stratalake.plans.transforms import sql_transform
 from stratalake.session import scratch_dir
 from stratalake.sinks import control
@@ -329,7 +329,8 @@ def processed_files_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         data.select(F.concat_ws("/", F.lit("crawl"), "source", F.lit("none")))
     ).distinct()
     counted = control.rows_per_file(data, listed)
-    rows = control.processed_file_rows(counted, "crawl", "b7", NOON, environment="dev")
+    at = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    rows = control.processed_file_rows(counted, "crawl", "b7", at, environment="dev")
     place = target(scratch_dir(spark, "ledger"), "processed_files", **control.PROCESSED_FILES)
     ensure_table(spark, place)
     write_table(rows, place)
@@ -457,3 +458,25 @@ def stream_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).awaitTermination()
     stored = spark.read.parquet(f"{folder}/orders")
     return stored.select(*ORDER_NAMES, "source_system")
+
+
+@query(
+    "incremental_table_load",
+    """SELECT o_orderkey, o_totalprice, o_orderdate, 'erp' AS source_system,
+      CASE WHEN o_orderdate < timestamp '1998-01-01' THEN 1 ELSE 2 END AS run FROM orders""",
+)
+def incremental_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source table that grows between two runs, loaded by its stored cursor."""
+    folder = scratch_dir(spark, "table-load")
+    place, marks = target(folder, "orders"), target(folder, "watermarks")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    batches = {}
+    for run, rows in enumerate([orders.filter("o_orderdate < '1998-01-01'"), orders, orders], 1):
+        loaded = ingest_table(
+            spark, rows, "erp", "orders", place, NOON, cursor="o_orderdate", watermarks=marks
+        )
+        batches.setdefault(loaded.batch_id, run)
+    known = [F.lit(x) for pair in batches.items() if pair[0] for x in pair]
+    return spark.table(table_name(place)).select(
+        *orders.columns, "source_system", F.create_map(*known)[F.col("batch_id")].alias("run")
+    )

@@ -14,13 +14,17 @@ from stratalake.spec import declared_type, quoted
 def cast_to_spec(column: dict[str, Any], actual: T.DataType) -> Column:
     """The declared column cast to its declared type; a value that does not fit is null.
 
-    A ``format`` on a date or timestamp applies where the column arrives as a string.
+    Where the column arrives as a string, a ``format`` on a date or timestamp applies, and
+    nested types are read from their JSON text.
     """
     source, target = quoted(column["name"]), declared_type(column)
     if actual == target:
         return source
-    if column.get("format") and isinstance(actual, T.StringType):
-        return parse_time(source, target, column["format"])
+    if isinstance(actual, T.StringType):
+        if column.get("format"):
+            return parse_time(source, target, column["format"])
+        if isinstance(target, (T.ArrayType, T.MapType, T.StructType)):
+            return F.from_json(source, target)
     return source.try_cast(target)
 
 

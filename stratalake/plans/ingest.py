@@ -1,6 +1,6 @@
-"""File ingestion into a raw table as one operator.
+"""Ingestion into a raw table as one operator: of files, and of a database's tables.
 
-List, drop files the ledger knows, read all of them as one DataFrame, validate in one
+Files: list, drop files the ledger knows, read all of them as one DataFrame, validate in one
 aggregate, enforce, stamp, append, record. A run that dies anywhere can be repeated: files are
 announced in the ledger under their batch before the write, and the next run first looks
 whether an announced batch reached the table.
@@ -18,13 +18,18 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.columns import add_audit_columns
 from stratalake.operators.enforce import enforce_schema
-from stratalake.operators.validate import ERROR, INFO, validate_schema
-from stratalake.sinks.control import PROCESSED_FILES, processed_file_rows
+from stratalake.operators.validate import ERROR, INFO, require_valid, validate_schema
+from stratalake.sinks.control import (
+    PROCESSED_FILES, WATERMARKS, processed_file_rows, watermark_row,
+)
 from stratalake.sinks.tables import ensure_table, load_summary, table_name, write_table
 from stratalake.sources.files import (
     READ_ERROR, SOURCE_FILE, UNTYPED, dated_paths, discover_files, read_many,
 )
-from stratalake.sources.incremental import SUCCESS, unprocessed_files
+from stratalake.sources.incremental import (
+    SUCCESS, incremental_scan, next_watermark, stored_watermark, unprocessed_files,
+)
+from stratalake.spec import quoted
 
 STARTED, FAILED = "started", "failed"
 LISTED = "file_path string, path string, modified_at timestamp, length bigint"
@@ -138,6 +143,69 @@ def ingest_files(
     return Ingested(SUCCESS, batch_id, len(good), len(refused), written, summary)
 
 
+def ingest_table(
+    spark: SparkSession,
+    rows: DataFrame,
+    source_name: str,
+    table: str,
+    target: dict[str, Any],
+    at: datetime,
+    cursor: str | None = None,
+    watermarks: dict[str, Any] | None = None,
+    schema: dict[str, Any] | None = None,
+    environment: str = "dev",
+) -> Ingested:
+    """Load a source table, as ``scan_jdbc`` gives it: its rows past the stored cursor, or all.
+
+    Without a cursor the target is replaced. With one, the batch is the rows between the stored
+    value and the greatest present when the run starts, and is named by both ends. A batch that
+    is already whole in the target, because its run died before storing the new value, is not
+    written again.
+    """
+    if cursor is None:
+        loaded = _stamped(rows, schema, source_name, "full", at)
+        written = write_table(loaded, target, "overwrite")
+        return _table_result(spark, source_name, target, at, "full", written, environment)
+    if watermarks is None:
+        raise ValueError("an incremental load needs the watermarks table")
+    marks = {**WATERMARKS, **watermarks}
+    ensure_table(spark, marks)
+    stored = stored_watermark(spark.table(table_name(marks)), source_name, table, cursor)
+    new = incremental_scan(rows, cursor, stored)
+    advanced = next_watermark(new, cursor).first().watermark_value
+    if advanced is None:
+        return _table_result(spark, source_name, target, at, None, 0, environment)
+    upper = F.lit(advanced).cast(rows.schema[cursor].dataType)
+    reached = quoted(cursor) <= upper
+    batch = new.filter(reached if stored is not None else reached | quoted(cursor).isNull())
+    batch_id = hashlib.sha256(f"{source_name}|{table}|{stored}|{advanced}".encode()).hexdigest()[:32]
+    loaded = _stamped(batch, schema, source_name, batch_id, at)
+    ensure_table(spark, target, loaded)
+    known = spark.table(table_name(target)).filter(F.col("batch_id") == batch_id)
+    present, written = known.count(), 0
+    if present == 0:
+        written = write_table(loaded, target)
+    elif present != batch.count():
+        raise IngestFailed(f"batch {batch_id}: only {present} of its rows are in the table")
+    row = watermark_row(next_watermark(batch, cursor), source_name, table, cursor, at, environment)
+    write_table(row, watermarks)
+    return _table_result(spark, source_name, target, at, batch_id, written, environment)
+
+
+def _stamped(rows, schema, source_name, batch_id, at) -> DataFrame:
+    if schema:
+        require_valid(validate_schema(rows, schema), schema.get("strict_validation", True))
+        rows = enforce_schema(rows, schema)
+    return add_audit_columns(rows, source_name, None, batch_id, at)
+
+
+def _table_result(spark, name, target, at, batch_id, written, environment) -> Ingested:
+    summary = load_summary(
+        spark, "jdbc", name, target, at, datetime.now(), written, environment=environment
+    )
+    return Ingested(SUCCESS, batch_id, 0, 0, written, summary)
+
+
 def _new_files(spark, source, target, ledger, day, at, environment) -> DataFrame:
     place = source["connection"]
     if "path_pattern" in place:

@@ -4,8 +4,10 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from stratalake.operators.enforce import enforce_schema
+from stratalake.operators.validate import SchemaInvalid
 from stratalake.plans import ingest
-from stratalake.plans.ingest import IngestFailed, ingest_files
+from stratalake.plans.ingest import IngestFailed, ingest_files, ingest_table
 from stratalake.sinks import control
 from stratalake.sinks.tables import ensure_table, table_name, write_files, write_table
 from stratalake.sources import files, incremental
@@ -319,3 +321,84 @@ def test_a_stream_stores_each_file_once_and_rejects_bad_ones(spark, tmp_path):
     assert rows_of(spark.read.parquet(out), "id", "batch_id") == [(1, "sales-0"), (2, "sales-1")]
     refused = spark.read.json(f"{out}_rejected").first()
     assert refused.source_file.endswith("c.csv") and refused.errors == ["amount min 1"]
+
+
+def test_unreadable_typed_files_are_left_for_later(spark, tmp_path, places, frame):
+    inbox = tmp_path / "in"
+    frame("id int, amount decimal(10,2)", (1, None)).coalesce(1).write.parquet(str(inbox / "p"))
+    (part,) = (inbox / "p").glob("*.parquet")
+    (inbox / "s_1.parquet").write_bytes(part.read_bytes())
+    (inbox / "s_2.parquet").write_text("not parquet")
+    got = ingest_files(
+        spark, source(inbox, "parquet"), places[0], AT, ledger=places[1], fail_on_error=False
+    )
+    assert (got.files_processed, got.files_failed, got.records) == (1, 1, 1)
+    failed = spark.table(table_name(places[1])).filter("status = 'failed'").first()
+    assert failed.error_message == "no readable rows"
+
+
+def test_nested_types_are_read_from_their_text(spark, tmp_path):
+    path = put(tmp_path, "a.json", '{"id": 1, "l": [1, 2], "s": {"x": "y"}}\n{"id": 2, "l": "no"}\n')
+    schema = {
+        "columns": [
+            {"name": "id", "type": "int"},
+            {"name": "l", "type": "array<int>"},
+            {"name": "s", "type": "struct<x: string>"},
+        ]
+    }
+    rows = enforce_schema(files.scan_json(spark, path, schema), schema).orderBy("id").collect()
+    assert rows[0].l == [1, 2] and rows[0].s.x == "y" and rows[1].l is None
+
+
+TABLE = "id int, c date, v string"
+ROWS = [(1, date(2024, 1, 1), "a"), (2, date(2024, 1, 2), "b"), (3, None, "c"),
+        (4, date(2024, 1, 3), "d")]
+
+
+def test_tables_load_by_cursor_once(spark, frame, places):
+    data, marks = places
+
+    def run(*rows):
+        return ingest_table(
+            spark, frame(TABLE, *rows), "erp", "t", data, AT, cursor="c", watermarks=marks
+        ).records
+
+    assert run(*ROWS[:3]) == 3  # the first load takes rows without a cursor value, too
+    assert run(*ROWS[:3]) == 0
+    assert run(*ROWS) == 1
+    assert rows_of(spark.table(table_name(data)), "id") == [(1,), (2,), (3,), (4,)]
+    stored = spark.table(table_name(marks))
+    assert rows_of(stored, "watermark_value") == [("2024-01-02",), ("2024-01-03",)]
+
+
+def test_a_table_load_that_died_before_its_cursor_is_not_repeated(
+    spark, frame, places, monkeypatch
+):
+    data, marks = places
+    load = lambda: ingest_table(
+        spark, frame(TABLE, *ROWS), "erp", "t", data, AT, cursor="c", watermarks=marks
+    )
+    write = ingest.write_table
+
+    def die_on_marks(df, target, *mode):
+        if target is marks:
+            raise KeyboardInterrupt
+        return write(df, target, *mode)
+
+    monkeypatch.setattr(ingest, "write_table", die_on_marks)
+    with pytest.raises(KeyboardInterrupt):
+        load()
+    monkeypatch.setattr(ingest, "write_table", write)
+    assert load().records == 0 and load().records == 0
+    assert spark.table(table_name(data)).count() == 4
+
+
+def test_full_table_loads_replace_and_validate(spark, frame, places):
+    schema = {"columns": [{"name": "id", "type": "int", "nullable": False}]}
+    for rows in (ROWS, ROWS[:2]):
+        ingest_table(spark, frame(TABLE, *rows), "erp", "t", places[0], AT, schema=schema)
+    assert spark.table(table_name(places[0])).count() == 2
+    with pytest.raises(SchemaInvalid):
+        ingest_table(spark, frame(TABLE, (None, None, "")), "erp", "t", places[0], AT, schema=schema)
+    with pytest.raises(ValueError):
+        ingest_table(spark, frame(TABLE), "erp", "t", places[0], AT, cursor="c")
