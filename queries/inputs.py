@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from queries.registry import table
 
-# Sales lines as a raw source would deliver them: all text, money in whole cents before it
-# becomes text, so that every engine sees the same digits.
+# Columns, rules and expressions that a sales and a customer source declare.
 DAILY_SALES_COLUMNS = [
     {"name": "transaction_id", "type": "string", "nullable": False},
     {"name": "transaction_date", "type": "date", "format": "yyyy-MM-dd", "nullable": False},
@@ -65,6 +64,10 @@ PERCENT_PAID = "(100 - cast(round(l_discount * 100) as bigint))"
 
 
 def daily_sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales lines as a raw source would deliver them: all text.
+
+    Money is whole cents before it becomes text, so that every engine sees the same digits.
+    """
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     unit, total = f"({CENTS} div cast(l_quantity as bigint))", f"(({CENTS} * {PERCENT_PAID}) div 100)"

@@ -82,10 +82,10 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("scan_parquet", "SELECT p_partkey, p_brand, p_retailprice FROM part WHERE p_size > 25")
+@query("scan_parquet", "SELECT p_partkey, p_brand, p_retailprice FROM part")
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = sources.scan_parquet(spark, f"{sf_dir}/part.parquet")
-    return part.filter("p_size > 25").select("p_partkey", "p_brand", "p_retailprice")
+    return part.select("p_partkey", "p_brand", "p_retailprice")
 
 
 def workbook_bytes(names: list[str], rows: list[list]) -> bytes:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ from stratalake.sources.incremental import (
 from stratalake.spec import quoted
 
 STARTED, FAILED = "started", "failed"
+# How Spark reports a query that failed while running, translated or not.
+FAILURES = (PySparkException, Py4JJavaError)
 LISTED = "file_path string, path string, modified_at timestamp, length bigint"
 
 
@@ -112,10 +116,22 @@ def ingest_files(
         )
         return Ingested(SUCCESS, None, 0, 0, 0, summary)
     files = spark.createDataFrame(listed, LISTED)
-    strict = source.get("schema", {}).get("strict_validation", True)
-    raw = read_many(spark, source, files, report_errors=not fail_on_error)
-    verdicts = {r[SOURCE_FILE]: r for r in validate_files(raw, source).collect()}
-    refused = _refused(listed, verdicts, strict, source, fail_on_error)
+    try:
+        raw = read_many(spark, source, files, report_errors=not fail_on_error)
+        verdicts = {r[SOURCE_FILE]: r for r in validate_files(raw, source).collect()}
+        refused = {}
+    except FAILURES:
+        if fail_on_error:
+            raise
+        unreadable = {f.file_path for f in _unreadable(spark, source, listed)}
+        rest = [f for f in listed if f.file_path not in unreadable]
+        refused = dict.fromkeys(unreadable, "cannot be read")
+        verdicts = {}
+        if rest:
+            raw = read_many(spark, source, spark.createDataFrame(rest, LISTED), True)
+            verdicts = {r[SOURCE_FILE]: r for r in validate_files(raw, source).collect()}
+    if source.get("schema", {}).get("strict_validation", True):
+        refused |= {p: ", ".join(v.errors) for p, v in verdicts.items() if v.errors}
     good = [f for f in listed if f.file_path not in refused]
     batch_id = _batch_id(good)
 
@@ -258,17 +274,17 @@ def _settle_started(spark, target, ledger, name, at, environment) -> None:
         write_table(kept, _ledger_target(ledger))
 
 
-def _refused(listed, verdicts, strict, source, fail_on_error) -> dict[str, str]:
-    out = {}
-    for f in listed:
-        verdict = verdicts.get(f.file_path)
-        if verdict is None:
-            # Spark skips a file that it cannot read without a word; so does an empty one.
-            if not fail_on_error and source["type"] == "parquet":
-                out[f.file_path] = "no readable rows"
-        elif verdict.errors and strict:
-            out[f.file_path] = ", ".join(verdict.errors)
-    return out
+def _unreadable(spark: SparkSession, source: dict[str, Any], listed: list) -> list:
+    """The files that fail a read, found by halving: a few more scans, after a failure only."""
+    try:
+        files = spark.createDataFrame(listed, LISTED)
+        read_many(spark, source, files, True).write.format("noop").mode("overwrite").save()
+        return []
+    except FAILURES:
+        if len(listed) == 1:
+            return listed
+    half = len(listed) // 2
+    return _unreadable(spark, source, listed[:half]) + _unreadable(spark, source, listed[half:])
 
 
 def _batch_id(files: list) -> str:

@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns of the control tables, each with the date it is partitioned by.
 PROCESSED_FILES = {
     "columns": [
         {"name": "file_path", "type": "string", "nullable": False},

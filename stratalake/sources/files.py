@@ -157,16 +157,15 @@ def read_many(
     ``source`` holds ``type``, ``schema`` and ``read_options``. Files come in as few scans as
     possible: one, except for CSV files of differing headers, which take one scan per distinct
     header. What the driver holds is the list of paths, as for any file scan. With
-    ``report_errors`` an unreadable workbook becomes a row with ``_read_error`` set, and other
-    formats skip files they cannot read.
+    ``report_errors`` an unreadable workbook becomes a row with ``_read_error`` set. Other
+    unreadable files always fail the query: Spark's option to skip them would keep the rows
+    before the damage and lose the rest without a word.
     """
     kind, schema = source["type"], source.get("schema")
     options = dict(source.get("read_options", {}))
     if kind == "csv":
-        return _read_csv_files(spark, files, schema, options, report_errors)
+        return _read_csv_files(spark, files, schema, options)
     paths = [r.path for r in files.select("path").collect()]
-    if report_errors and kind != "excel":
-        options["ignoreCorruptFiles"] = "true"
     if kind == "json":
         return _with_file(scan_json(spark, paths, schema, options))
     if kind == "parquet":
@@ -181,9 +180,7 @@ def _with_file(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
-def _read_csv_files(spark, files, schema, options, report_errors) -> DataFrame:
-    if report_errors:
-        options["ignoreCorruptFiles"] = "true"
+def _read_csv_files(spark, files, schema, options) -> DataFrame:
     if str(options.get("header", "true")).lower() != "true":
         paths = [r.path for r in files.select("path").collect()]
         return _with_file(scan_csv(spark, paths, schema, options))

@@ -1,3 +1,4 @@
+import gzip
 from datetime import date, datetime
 
 import pytest
@@ -334,7 +335,7 @@ def test_unreadable_typed_files_are_left_for_later(spark, tmp_path, places, fram
     )
     assert (got.files_processed, got.files_failed, got.records) == (1, 1, 1)
     failed = spark.table(table_name(places[1])).filter("status = 'failed'").first()
-    assert failed.error_message == "no readable rows"
+    assert failed.error_message == "cannot be read"
 
 
 def test_nested_types_are_read_from_their_text(spark, tmp_path):
@@ -402,3 +403,17 @@ def test_full_table_loads_replace_and_validate(spark, frame, places):
         ingest_table(spark, frame(TABLE, (None, None, "")), "erp", "t", places[0], AT, schema=schema)
     with pytest.raises(ValueError):
         ingest_table(spark, frame(TABLE), "erp", "t", places[0], AT, cursor="c")
+
+
+def test_a_damaged_compressed_file_loads_none_of_its_rows(spark, tmp_path, places):
+    inbox = tmp_path / "in"
+    text = "id,amount\n" + "".join(f"{i},{i}.00\n" for i in range(200_000))
+    packed = gzip.compress(text.encode())
+    for name, content in [("s_1", packed), ("s_2", packed[: len(packed) // 2]), ("s_3", packed)]:
+        inbox.mkdir(exist_ok=True)
+        (inbox / f"{name}.csv.gz").write_bytes(content)
+    given = source(inbox, connection={"path": str(inbox), "file_pattern": "s_*.csv.gz"})
+    with pytest.raises(FAILURES):
+        ingest_files(spark, given, places[0], AT, ledger=places[1])
+    got = ingest_files(spark, given, places[0], AT, ledger=places[1], fail_on_error=False)
+    assert (got.files_processed, got.files_failed, got.records) == (2, 1, 400_000)
