@@ -58,8 +58,7 @@ def write_table(df: DataFrame, target: dict[str, Any], mode: str = "append") ->
         table = spark.table(name).schema
         added = [f for f in df.schema.fields if f.name not in table.fieldNames()]
         if added:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_nullable(added).toDDL()})")
         df = align_to(df, T.StructType([*table.fields, *added]))
     parts = target.get("partition_columns")
     rows, seen = counted(df, parts)
@@ -89,19 +88,22 @@ def ensure_table(spark: SparkSession, target: dict[str, Any], like: DataFrame |
     if spark.catalog.tableExists(name):
         return name
     if like is not None:
-        columns = [(f.name, f.dataType, True, None) for f in like.schema.fields]
+        columns = _nullable(like.schema.fields)
     elif target.get("columns"):
-        columns = [
-            (c["name"], declared_type(c), c.get("nullable", True), c.get("comment"))
-            for c in columns_of(target)
-        ]
+        columns = T.StructType(
+            [
+                T.StructField(
+                    c["name"],
+                    declared_type(c),
+                    c.get("nullable", True),
+                    {"comment": c["comment"]} if c.get("comment") else None,
+                )
+                for c in columns_of(target)
+            ]
+        )
     else:
         raise ValueError(f"no columns to create {name} from")
-    lines = [
-        f"`{n}` {t.simpleString()}" + ("" if null else " NOT NULL") + _clause(" COMMENT", comment)
-        for n, t, null, comment in columns
-    ]
-    ddl = f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(lines)}) "
+    ddl = f"CREATE TABLE IF NOT EXISTS {name} ({columns.toDDL()}) "
     ddl += f"USING {target.get('format', 'parquet')}"
     if target.get("partition_columns"):
         ddl += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in target['partition_columns'])})"
@@ -113,6 +115,10 @@ def ensure_table(spark: SparkSession, target: dict[str, Any], like: DataFrame |
     return name
 
 
+def _nullable(fields: list[T.StructField]) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+
+
 def _text(value: Any) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
