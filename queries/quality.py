@@ -11,7 +11,7 @@ from queries.inputs import (
 from queries.registry import query, table
 from stratalake.operators.enforce import enforce_schema
 from stratalake.operators.quality import (
-    profile_columns, quality_gate, quality_results, quality_summary,
+    GATES, profile_columns, quality_gate, quality_results, quality_summary,
 )
 from stratalake.operators.validate import validate_schema
 
@@ -253,7 +253,7 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gates of three environments over one set of results."""
     one = quality_gate(sales_results(spark, sf_dir))
-    limits = [("dev", 10), ("test", 5), ("prod", 0)]
+    limits = [(name, gate["max_error_threshold"]) for name, gate in GATES.items()]
     gates = F.array(
         *[
             F.struct(

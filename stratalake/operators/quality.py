@@ -39,6 +39,14 @@ RESULT_COLUMNS = [
 ]
 
 
+# Per environment, whether too many failed checks stop a run, and how many are.
+GATES = {
+    "dev": {"fail_on_error": False, "max_error_threshold": 10},
+    "test": {"fail_on_error": True, "max_error_threshold": 5},
+    "prod": {"fail_on_error": True, "max_error_threshold": 0},
+}
+
+
 class QualityGateFailed(ValueError):
     """More checks failed than the gate tolerates."""
 

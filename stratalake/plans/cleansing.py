@@ -24,6 +24,7 @@ from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.operators.columns import (
     default_nulls, derive_columns, filter_not_null, standardize_columns,
@@ -32,8 +33,9 @@ from stratalake.operators.dedup import deduplicate_latest
 from stratalake.operators.quality import enforce_gate, quality_results
 from stratalake.operators.scd2 import initial_load, merge_current
 from stratalake.plans.transforms import df_transform, sql_transform
+from stratalake.sinks.control import QUALITY_RESULTS, quality_rows
 from stratalake.sinks.history import HistoryStore
-from stratalake.sinks.tables import table_name, write_table
+from stratalake.sinks.tables import ensure_table, table_name, write_table
 
 
 @dataclass
@@ -72,10 +74,13 @@ def run_cleansing(
     fail_on_error: bool = True,
     max_error_threshold: int = 0,
     as_of: datetime | str | None = None,
+    quality_table: dict[str, Any] | None = None,
+    batch_id: str = "",
 ) -> int:
     """Read the source table, decide by its checks, write the target; returns the row count.
 
-    The checks run on the stored table, a pruned scan each, before anything is written. With
+    The checks run on the stored table before anything is written; their results, one row
+    each, are kept in the quality table where one is given, also when they stop the run. With
     change data capture the target's ``path`` is a ``HistoryStore``, which the cleansed rows
     join as a snapshot taken at ``as_of``.
     """
@@ -85,7 +90,14 @@ def run_cleansing(
     if "transform" in definition:
         rows = df_transform(rows, definition["transform"], **definition.get("config", {}))
     cleansed = apply_steps(rows, definition.get("transformations", []))
-    for results in cleansed.checks:
+    found = [spark.createDataFrame(r.collect(), r.schema) for r in cleansed.checks]
+    if quality_table and found:
+        ensure_table(spark, {**QUALITY_RESULTS, **quality_table})
+        kept = {**quality_table, "partition_columns": QUALITY_RESULTS["partition_columns"]}
+        checked = table_name(definition["source"]).replace("`", "")
+        for results in found:
+            write_table(quality_rows(results, checked, batch_id, F.current_timestamp()), kept)
+    for results in found:
         enforce_gate(results, fail_on_error, max_error_threshold)
     target = dict(definition["target"])
     if "change_data_capture" in definition:

@@ -106,12 +106,12 @@ def ingest_files(
     run; with ``fail_on_error`` false the others load and it is recorded as failed, to be
     offered again. ``at`` is the time written into the rows.
     """
-    name = source.get("name", "file_system")
-    files = _new_files(spark, source, target, ledger, day, at, environment)
+    name, began = source.get("name", "file_system"), datetime.now()
+    files = _new_files(spark, source, target, ledger, day, at)
     listed = files.collect()  # the paths; any file scan holds them on the driver
     if not listed:
         summary = load_summary(
-            spark, source["type"], name, target, at, datetime.now(), 0,
+            spark, source["type"], name, target, began, datetime.now(), 0,
             environment=environment, message="no files to process",
         )
         return Ingested(SUCCESS, None, 0, 0, 0, summary)
@@ -137,7 +137,9 @@ def ingest_files(
 
     def record(rows: list, status: str) -> None:
         if ledger and rows:
-            _record(spark, ledger, rows, verdicts, refused, name, batch_id, at, status, environment)
+            took = (datetime.now() - began).total_seconds()
+            fixed = {"batch_id": batch_id, "at": at, "environment": environment}
+            _record(spark, ledger, rows, verdicts, refused, name, status, took, fixed)
 
     if refused and (fail_on_error or not good):
         record([f for f in listed if f.file_path in refused], FAILED)
@@ -154,7 +156,8 @@ def ingest_files(
     record(good, SUCCESS)
     record([f for f in listed if f.file_path in refused], FAILED)
     summary = load_summary(
-        spark, source["type"], name, target, at, datetime.now(), written, environment=environment
+        spark, source["type"], name, target, began, datetime.now(), written,
+        environment=environment,
     )
     return Ingested(SUCCESS, batch_id, len(good), len(refused), written, summary)
 
@@ -178,10 +181,18 @@ def ingest_table(
     is already whole in the target, because its run died before storing the new value, is not
     written again.
     """
+    began = datetime.now()
+
+    def result(batch_id: str | None, written: int) -> Ingested:
+        ended = datetime.now()
+        summary = load_summary(
+            spark, "jdbc", source_name, target, began, ended, written, environment=environment
+        )
+        return Ingested(SUCCESS, batch_id, 0, 0, written, summary)
+
     if cursor is None:
         loaded = _stamped(rows, schema, source_name, "full", at)
-        written = write_table(loaded, target, "overwrite")
-        return _table_result(spark, source_name, target, at, "full", written, environment)
+        return result("full", write_table(loaded, target, "overwrite"))
     if watermarks is None:
         raise ValueError("an incremental load needs the watermarks table")
     marks = {**WATERMARKS, **watermarks}
@@ -190,7 +201,7 @@ def ingest_table(
     new = incremental_scan(rows, cursor, stored)
     advanced = next_watermark(new, cursor).first().watermark_value
     if advanced is None:
-        return _table_result(spark, source_name, target, at, None, 0, environment)
+        return result(None, 0)
     upper = F.lit(advanced).cast(rows.schema[cursor].dataType)
     reached = quoted(cursor) <= upper
     batch = new.filter(reached if stored is not None else reached | quoted(cursor).isNull())
@@ -205,7 +216,7 @@ def ingest_table(
         raise IngestFailed(f"batch {batch_id}: only {present} of its rows are in the table")
     row = watermark_row(next_watermark(batch, cursor), source_name, table, cursor, at, environment)
     write_table(row, watermarks)
-    return _table_result(spark, source_name, target, at, batch_id, written, environment)
+    return result(batch_id, written)
 
 
 def _stamped(rows, schema, source_name, batch_id, at) -> DataFrame:
@@ -215,14 +226,7 @@ def _stamped(rows, schema, source_name, batch_id, at) -> DataFrame:
     return add_audit_columns(rows, source_name, None, batch_id, at)
 
 
-def _table_result(spark, name, target, at, batch_id, written, environment) -> Ingested:
-    summary = load_summary(
-        spark, "jdbc", name, target, at, datetime.now(), written, environment=environment
-    )
-    return Ingested(SUCCESS, batch_id, 0, 0, written, summary)
-
-
-def _new_files(spark, source, target, ledger, day, at, environment) -> DataFrame:
+def _new_files(spark, source, target, ledger, day, at) -> DataFrame:
     place = source["connection"]
     if "path_pattern" in place:
         if day is None:
@@ -238,11 +242,11 @@ def _new_files(spark, source, target, ledger, day, at, environment) -> DataFrame
     if not ledger:
         raise ValueError("incremental mode needs a ledger")
     name = source.get("name", "file_system")
-    _settle_started(spark, target, ledger, name, at, environment)
+    _settle_started(spark, target, ledger, name, at)
     return unprocessed_files(files, spark.table(table_name(ledger)), name)
 
 
-def _settle_started(spark, target, ledger, name, at, environment) -> None:
+def _settle_started(spark, target, ledger, name, at) -> None:
     """Record batches that were announced and written by a run that died before saying so."""
     known = spark.table(table_name(ledger)).filter(F.col("source_name") == name)
     done = known.filter(F.col("status") == SUCCESS).select("batch_id").distinct()
@@ -293,7 +297,7 @@ def _batch_id(files: list) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:32]
 
 
-def _record(spark, ledger, files, verdicts, refused, name, batch_id, at, status, environment):
+def _record(spark, ledger, files, verdicts, refused, name, status, took, fixed) -> None:
     data = [
         (
             f.file_path,
@@ -304,8 +308,14 @@ def _record(spark, ledger, files, verdicts, refused, name, batch_id, at, status,
         for f in files
     ]
     fields = "file_path string, length bigint, record_count bigint, error_message string"
-    frame = spark.createDataFrame(data, fields)
-    rows = processed_file_rows(frame, name, batch_id, at, status, environment)
+    rows = processed_file_rows(
+        spark.createDataFrame(data, fields),
+        name,
+        status=status,
+        duration_seconds=took,
+        created_by=spark.sparkContext.sparkUser(),
+        **fixed,
+    )
     write_table(rows, _ledger_target(ledger))
 
 

@@ -15,9 +15,12 @@ from stratalake.sinks.tables import counted
 from stratalake.sources.files import (
     CSV_DIALECT, READ_ERROR, SOURCE_FILE, declared_names,
 )
+from stratalake.sources.workbook import parse_workbooks
 from stratalake.spec import string_struct, struct_type
 
 BATCH = "ingest_batch"
+# Fixed value: what Spark's binary reader delivers; a stream must say it.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def read_file_stream(
@@ -28,6 +31,13 @@ def read_file_stream(
     options = dict(source.get("read_options", {}))
     if files_per_batch:
         options["maxFilesPerTrigger"] = str(files_per_batch)
+    if kind == "excel":
+        reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
+        for name in ("pathGlobFilter", "maxFilesPerTrigger"):
+            if name in options:
+                reader = reader.option(name, options[name])
+        books = reader.load(path).select(F.col("_metadata.file_path").alias("file_path"), "content")
+        return parse_workbooks(books, options, declared_names(schema), report_errors=True)
     if kind == "parquet":
         reader = spark.readStream.schema(struct_type(schema))
     elif kind in ("csv", "json"):

@@ -50,8 +50,13 @@ def test_failed_checks_stop_before_anything_is_written(spark, frame, places):
     source, target = places
     write_table(frame("id int", (1,), (1,)), source)
     definition = {"source": source, "target": target, "transformations": [CHECKS]}
+    kept = {"table": target["table"] + "_quality", "path": target["path"] + "_quality"}
     with pytest.raises(QualityGateFailed):
-        run_cleansing(spark, definition)
+        run_cleansing(spark, definition, quality_table=kept, batch_id="b")
+    recorded = spark.table(table_name(kept))
+    assert rows_of(recorded, "check_name", "status", "records_failed", "batch_id") == [
+        ("duplicate_check:id", "failed", 1, "b"), ("null_check:id", "passed", 0, "b"),
+    ]
     assert not spark.catalog.tableExists(table_name(target))
     assert run_cleansing(spark, definition, fail_on_error=False) == 2
     assert run_cleansing(spark, definition, max_error_threshold=1) == 2

@@ -132,6 +132,7 @@ def test_new_files_load_once_and_with_their_ledger(spark, tmp_path, places):
     kept = spark.table(table_name(ledger)).filter("status = 'success'")
     counts = {r.file_path.split("/")[-1]: r.record_count for r in kept.collect()}
     assert counts == {"s_1.csv": 2, "s_2.csv": 1, "s_3.csv": 0}
+    assert all(r.created_by and r.processing_duration_seconds > 0 for r in kept.collect())
     assert second.summary.first().records_processed == 1
 
 
@@ -191,7 +192,7 @@ def test_a_run_that_died_after_its_write_is_settled_by_the_next(spark, tmp_path,
     record = ingest._record
 
     def die_on_success(*args):
-        if args[8] == "success":
+        if args[6] == "success":
             raise KeyboardInterrupt
         record(*args)
 
@@ -302,6 +303,28 @@ def test_unknown_formats_are_refused(spark, frame, tmp_path):
         files.read_many(spark, {"type": "xml"}, files.discover_files(spark, str(tmp_path)))
 
 
+def test_workbooks_stream_like_other_files(spark, tmp_path):
+    from tests.test_workbook import HEADER, text, write_book
+
+    inbox, out = tmp_path / "in", f"{tmp_path}/out"
+    inbox.mkdir()
+    schema = {"columns": [{"name": "id", "type": "int", "nullable": False}, {"name": "name"}]}
+    given = {"name": "books", "type": "excel", "schema": schema,
+             "read_options": {"sheet_name": "S", "pathGlobFilter": "*.xlsx"}}
+    for n in (1, 2):
+        row = f'<row>{text("A2", n)}{text("B2", "x")}</row>'
+        write_book(inbox / f"{n}.xlsx", {"S": HEADER + row})
+        stream = read_file_stream(spark, given, str(inbox))
+        ingest_stream(stream, given, out, f"{tmp_path}/cp", AT).awaitTermination()
+    assert rows_of(spark.read.parquet(out), "id", "name", "batch_id") == [
+        (1, "x", "books-0"), (2, "x", "books-1"),
+    ]
+    (inbox / "3.xlsx").write_text("garbage")
+    stream = read_file_stream(spark, given, str(inbox))
+    ingest_stream(stream, given, out, f"{tmp_path}/cp", AT, fail_on_error=False).awaitTermination()
+    assert spark.read.json(f"{out}_rejected").first().source_file.endswith("3.xlsx")
+
+
 def test_a_stream_stores_each_file_once_and_rejects_bad_ones(spark, tmp_path):
     inbox, out = tmp_path / "in", f"{tmp_path}/out"
     given = {"name": "sales", "type": "csv", "schema": SCHEMA}

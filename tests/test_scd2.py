@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.operators import scd2
+from stratalake.operators import scd2, splits
 from stratalake.sinks.history import HistoryStore
 from tests.conftest import FAILURES, rows_of
 
@@ -247,3 +247,28 @@ def test_store_shows_only_committed_epochs_and_repeats_nothing(spark, frame, tmp
         (1, 1, False), (1, 2, True), (2, 1, True),
     ]
     assert rows_of(store.current(), "k") == [(1,), (2,)]
+
+
+def test_frequent_keys_are_cut_along_time_and_order_is_kept(frame):
+    feed = [(0, datetime(2024, 1, 1) + timedelta(hours=i), i, "p", 0) for i in range(100)]
+    feed += [(1, datetime(2024, 1, 1), 0, "p", 0), (2, datetime(2024, 1, 1), 0, "p", 0)] + [
+        (2, datetime(2024, 1, 1), 1, "p", 0) for _ in range(20)
+    ]
+    df = frame(FEED, *feed)
+    cut = splits.with_splits(df, splits.hot_keys(df, ["k"], "t", 10), ["k"], "t")
+    parts = [r[splits.SPLIT] for r in cut.filter("k = 0").orderBy("t").collect()]
+    assert parts == sorted(parts) and set(parts) == set(range(1, 11))
+    assert max(parts.count(p) for p in parts) <= 11
+    assert {r[splits.SPLIT] for r in cut.filter("k = 1").collect()} == {0}
+    # Rows of one key at one moment cannot be told apart by time: one split.
+    assert {r[splits.SPLIT] for r in cut.filter("k = 2").collect()} == {1}
+    rare = splits.hot_keys(df, ["k"], "t", 10, share=0.5)
+    assert [r.k for r in rare.collect()] == [0]
+
+
+def test_keys_can_be_cut_along_any_number_or_time(frame):
+    df = frame("k int, d date, n decimal(10,2), s string", (1, datetime(2024, 1, 1), None, "x"))
+    for column in ("d", "n", "k"):
+        assert splits.hot_keys(df, ["k"], column, 0).count() == 1
+    with pytest.raises(TypeError):
+        splits.hot_keys(df, ["k"], "s", 0)
