@@ -177,9 +177,8 @@ def ingest_table(
     """Load a source table, as ``scan_jdbc`` gives it: its rows past the stored cursor, or all.
 
     Without a cursor the target is replaced. With one, the batch is the rows between the stored
-    value and the greatest present when the run starts, and is named by both ends. A batch that
-    is already whole in the target, because its run died before storing the new value, is not
-    written again.
+    value and the greatest present when the run starts. A batch whose run died after writing it
+    and before storing its cursor value is recognised, and only what came later is loaded.
     """
     began = datetime.now()
 
@@ -198,27 +197,60 @@ def ingest_table(
     marks = {**WATERMARKS, **watermarks}
     ensure_table(spark, marks)
     stored = stored_watermark(spark.table(table_name(marks)), source_name, table, cursor)
-    new = incremental_scan(rows, cursor, stored)
-    advanced = next_watermark(new, cursor).first().watermark_value
-    if advanced is None:
+    batch_id = _cursor_batch(source_name, table, stored)
+    reached = _left_behind(spark, rows, target, cursor, stored, batch_id)
+
+    def advance(to: DataFrame) -> None:
+        row = watermark_row(to, source_name, table, cursor, F.current_timestamp(), environment)
+        write_table(row, watermarks)
+
+    if reached is not None:
+        advance(spark.createDataFrame([(reached,)], "watermark_value string"))
+        stored, batch_id = reached, _cursor_batch(source_name, table, reached)
+    upper = next_watermark(incremental_scan(rows, cursor, stored), cursor).first().watermark_value
+    if upper is None:
         return result(None, 0)
-    upper = F.lit(advanced).cast(rows.schema[cursor].dataType)
-    reached = quoted(cursor) <= upper
-    batch = new.filter(reached if stored is not None else reached | quoted(cursor).isNull())
-    batch_id = hashlib.sha256(f"{source_name}|{table}|{stored}|{advanced}".encode()).hexdigest()[:32]
+    batch = _between(rows, cursor, stored, upper)
     loaded = _stamped(batch, schema, source_name, batch_id, at)
     ensure_table(spark, target, loaded)
-    known = spark.table(table_name(target)).filter(F.col("batch_id") == batch_id)
-    present, written = known.count(), 0
-    if present == 0:
-        written = write_table(loaded, target)
-    elif present != batch.count():
-        raise IngestFailed(f"batch {batch_id}: only {present} of its rows are in the table")
-    row = watermark_row(next_watermark(batch, cursor), source_name, table, cursor, at, environment)
-    write_table(row, watermarks)
+    written = write_table(loaded, target)
+    advance(spark.createDataFrame([(upper,)], "watermark_value string"))
     return result(batch_id, written)
 
 
+def _cursor_batch(source_name: str, table: str, stored: str | None) -> str:
+    """A batch is named by where it starts, so a repeated run finds what a dead one left."""
+    return hashlib.sha256(f"{source_name}|{table}|{stored}".encode()).hexdigest()[:32]
+
+
+def _between(rows: DataFrame, cursor: str, stored: str | None, upper: str) -> DataFrame:
+    """Rows past the stored value up to the upper one; the first load takes null cursors, too."""
+    reached = quoted(cursor) <= F.lit(upper).cast(rows.schema[cursor].dataType)
+    if stored is None:
+        return rows.filter(reached | quoted(cursor).isNull())
+    return incremental_scan(rows, cursor, stored).filter(reached)
+
+
+def _left_behind(spark, rows, target, cursor, stored, batch_id) -> str | None:
+    """How far a run came that wrote this batch and died before storing its cursor value.
+
+    The source may have moved on since: rows that changed have a later cursor value now. So
+    the table may hold more rows than the source still shows for that range, but not fewer.
+    """
+    if not spark.catalog.tableExists(table_name(target)):
+        return None
+    mine = spark.table(table_name(target)).filter(F.col("batch_id") == batch_id)
+    found = mine.agg(
+        F.max(quoted(cursor)).cast("string").alias("reached"), F.count(F.lit(1)).alias("present")
+    ).first()
+    if not found.present:
+        return None
+    expected = _between(rows, cursor, stored, found.reached).count()
+    if found.present < expected:
+        raise IngestFailed(f"batch {batch_id}: {found.present} of {expected} rows in the table")
+    return found.reached
+
+
 def _stamped(rows, schema, source_name, batch_id, at) -> DataFrame:
     if schema:
         require_valid(validate_schema(rows, schema), schema.get("strict_validation", True))

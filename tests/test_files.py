@@ -399,8 +399,8 @@ def test_a_table_load_that_died_before_its_cursor_is_not_repeated(
     spark, frame, places, monkeypatch
 ):
     data, marks = places
-    load = lambda: ingest_table(
-        spark, frame(TABLE, *ROWS), "erp", "t", data, AT, cursor="c", watermarks=marks
+    load = lambda *rows: ingest_table(
+        spark, frame(TABLE, *rows), "erp", "t", data, AT, cursor="c", watermarks=marks
     )
     write = ingest.write_table
 
@@ -411,10 +411,27 @@ def test_a_table_load_that_died_before_its_cursor_is_not_repeated(
 
     monkeypatch.setattr(ingest, "write_table", die_on_marks)
     with pytest.raises(KeyboardInterrupt):
-        load()
+        load(*ROWS[:3])
     monkeypatch.setattr(ingest, "write_table", write)
-    assert load().records == 0 and load().records == 0
-    assert spark.table(table_name(data)).count() == 4
+    # Since then one row has come and one has changed, which moved its cursor value.
+    moved = (1, date(2024, 1, 9), "changed")
+    assert load(*ROWS[1:], moved).records == 2 and load(*ROWS[1:], moved).records == 0
+    assert rows_of(spark.table(table_name(data)), "id") == [(1,), (1,), (2,), (3,), (4,)]
+    assert spark.table(table_name(marks)).count() == 2
+
+
+def test_a_table_load_that_lost_rows_is_reported(spark, frame, places):
+    data, marks = places
+    load = lambda *rows: ingest_table(
+        spark, frame(TABLE, *rows), "erp", "t", data, AT, cursor="c", watermarks=marks
+    )
+    load(ROWS[0])
+    forgotten = {**marks, "table": marks["table"] + "_new", "path": marks["path"] + "_new"}
+    with pytest.raises(IngestFailed):
+        ingest_table(
+            spark, frame(TABLE, ROWS[0], (9, date(2023, 1, 1), "x")), "erp", "t", data, AT,
+            cursor="c", watermarks=forgotten,
+        )
 
 
 def test_full_table_loads_replace_and_validate(spark, frame, places):
