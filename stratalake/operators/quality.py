@@ -24,15 +24,13 @@ import json
 from functools import reduce
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.session import FAILURES
 from stratalake.spec import SpecError, check_bounds, quoted
 
-# How Spark reports a query that failed while running, translated or not.
-FAILURES = (PySparkException, Py4JJavaError)
 RESULT_COLUMNS = [
     "check_name", "check_type", "passed", "records_checked", "records_failed",
     "failed_columns", "details",

@@ -13,14 +13,13 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators.columns import add_audit_columns
 from stratalake.operators.enforce import enforce_schema
 from stratalake.operators.validate import ERROR, INFO, require_valid, validate_schema
+from stratalake.session import FAILURES
 from stratalake.sinks.control import (
     PROCESSED_FILES, WATERMARKS, processed_file_rows, watermark_row,
 )
@@ -34,8 +33,6 @@ from stratalake.sources.incremental import (
 from stratalake.spec import quoted
 
 STARTED, FAILED = "started", "failed"
-# How Spark reports a query that failed while running, translated or not.
-FAILURES = (PySparkException, Py4JJavaError)
 LISTED = "file_path string, path string, modified_at timestamp, length bigint"
 
 

@@ -1,12 +1,17 @@
-"""Session helpers: where to keep written intermediate results."""
+"""Session helpers: where to keep written intermediate results, how queries fail."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
+# How Spark reports a query that failed while running, translated or not.
+FAILURES = (PySparkException, Py4JJavaError)
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.

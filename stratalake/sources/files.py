@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.shipping import by_value
 from stratalake.operators.columns import union_by_name
+from stratalake.session import FAILURES
 from stratalake.sources.workbook import scan_excel
 from stratalake.spec import columns_of, string_struct
 
@@ -181,11 +182,23 @@ def _with_file(df: DataFrame) -> DataFrame:
 
 
 def _read_csv_files(spark, files, schema, options) -> DataFrame:
-    if str(options.get("header", "true")).lower() != "true":
+    """One scan per distinct header; a single scan where headers cannot be told apart.
+
+    That is so without a header line, and where tasks cannot open the files' storage from
+    Python: the scan then takes the declared names, and a file with another header fails it.
+    """
+    found = None
+    if str(options.get("header", "true")).lower() == "true":
+        try:
+            found = csv_headers(files, options).collect()
+        except FAILURES:
+            if schema is None:
+                raise
+    if found is None:
         paths = [r.path for r in files.select("path").collect()]
         return _with_file(scan_csv(spark, paths, schema, options))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for r in csv_headers(files, options).collect():
+    for r in found:
         groups.setdefault(tuple(r.header), []).append(r.path)
     scans = [
         _with_file(scan_csv(spark, sorted(paths), list(header), options))
@@ -194,6 +207,5 @@ def _read_csv_files(spark, files, schema, options) -> DataFrame:
     ]
     if not scans:
         names = declared_names(schema or [])
-        empty = string_struct([*names, READ_ERROR, SOURCE_FILE])
-        return spark.createDataFrame([], empty)
+        return spark.createDataFrame([], string_struct([*names, READ_ERROR, SOURCE_FILE]))
     return union_by_name(scans)

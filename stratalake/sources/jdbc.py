@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.session import FAILURES
+
 
 def qualified(table: str, schema: str | None = None) -> str:
     return f"{schema}.{table}" if schema else table
@@ -116,7 +116,7 @@ def scan_jdbc_many(
             frames[t["name"]] = scan_jdbc(
                 spark, connection, table, schema, t.get("partition"), t.get("predicates"), options
             )
-        except (PySparkException, Py4JJavaError, ValueError) as e:
+        except (*FAILURES, ValueError) as e:
             errors[t["name"]] = str(e)
     return frames, errors
 

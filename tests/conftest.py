@@ -2,18 +2,13 @@ import sys
 from pathlib import Path
 
 import pytest
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from stratalake.session import FAILURES  # noqa: E402, F401
 from tests.session import local_session  # noqa: E402
 
 
-# A query that fails while running arrives as either, depending on how many tasks failed.
-FAILURES = (PySparkException, Py4JJavaError)
-
-
 @pytest.fixture(scope="session")
 def spark():
     return local_session()

@@ -110,6 +110,21 @@ def test_files_of_differing_headers_are_read_by_name(spark, tmp_path):
     assert {r.source_file for r in df.collect()} == names
 
 
+def test_csv_files_are_one_scan_where_headers_cannot_be_read(spark, tmp_path, monkeypatch):
+    put(tmp_path, "s_1.csv", "id,amount\n1,1.00\n")
+    put(tmp_path, "s_2.csv", "id,amount\n2,2.00\n")
+    monkeypatch.setattr(
+        files, "csv_headers", lambda listed, options: listed.selectExpr("raise_error('no access')")
+    )
+    listed = files.discover_files(spark, str(tmp_path), "s_*.csv")
+    df = files.read_many(spark, source(tmp_path), listed)
+    assert rows_of(df, "id") == [("1",), ("2",)]
+    put(tmp_path, "s_3.csv", "amount,id\n3.00,3\n")
+    listed = files.discover_files(spark, str(tmp_path), "s_*.csv")
+    with pytest.raises(FAILURES):
+        files.read_many(spark, source(tmp_path), listed).collect()
+
+
 def test_new_files_load_once_and_with_their_ledger(spark, tmp_path, places):
     data, ledger = places
     inbox = tmp_path / "in"
