@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.inputs import (
-    CUSTOMERS, CUSTOMERS_SQL, DAILY_SALES, SALES_SQL, SALES_STEPS, customers_text, daily_sales_text,
+    CUSTOMERS_SQL, DAILY_SALES, SALES_SQL, SALES_STEPS, customers_text, daily_sales_text,
 )
 from queries.registry import query, table
 from stratalake.operators.enforce import enforce_schema
@@ -15,6 +15,7 @@ from stratalake.operators.quality import (
 )
 from stratalake.operators.validate import validate_schema
 
+# Fixed value: what a customer source accepts as an e-mail address.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 RULED = {
     "columns": [

@@ -1,7 +1,7 @@
 """A versioned home for a Type-2 dimension on plain files.
 
 Plain files know no MERGE, and a table cannot be overwritten while it is read. So each commit
-writes its rows to a folder of its own, ``epochs/epoch=N/<is_current>=true|false``, and then
+writes its rows to a folder of its own, ``epochs/store_epoch=N/<is_current>=true|false``, and then
 adds ``N`` to ``commits``. Readers take the current rows of the newest committed epoch and the
 closed rows of all committed epochs: closed rows are written once and never copied, a commit
 costs the current rows only, and a write that dies before its commit is invisible and is
@@ -20,6 +20,9 @@ from stratalake.sinks.tables import counted
 from stratalake.spec import quoted
 
 
+EPOCH = "store_epoch"
+
+
 class HistoryStore:
     def __init__(self, spark: SparkSession, path: str, spec: dict[str, Any] | Scd2Spec):
         self.spark = spark
@@ -30,6 +33,9 @@ class HistoryStore:
         none = spark.createDataFrame([], "epoch bigint")
         none.write.mode("ignore").parquet(self.commits)
 
+    def folder(self, epoch: int) -> str:
+        return f"{self.epochs}/{EPOCH}={epoch}"
+
     def latest(self) -> int | None:
         """The newest committed epoch, a single number; None for a store without commits."""
         commits = self.spark.read.schema("epoch bigint").parquet(self.commits)
@@ -42,9 +48,9 @@ class HistoryStore:
             raise ValueError(f"nothing committed below {self.epochs}")
         flag = quoted(self.spec.is_current).cast("boolean")
         stored = self.spark.read.parquet(self.epochs)
-        newest = flag & (F.col("epoch") == epoch)
-        closed = ~flag & (F.col("epoch") <= epoch)
-        columns = [c for c in stored.columns if c not in ("epoch", self.spec.is_current)]
+        newest = flag & (F.col(EPOCH) == epoch)
+        closed = ~flag & (F.col(EPOCH) <= epoch)
+        columns = [c for c in stored.columns if c not in (EPOCH, self.spec.is_current)]
         return stored.filter(newest | closed).select(
             *[quoted(c) for c in columns], flag.alias(self.spec.is_current)
         )
@@ -63,7 +69,7 @@ class HistoryStore:
             return 0
         flag = self.spec.is_current
         laid_out, seen = counted(rows, [flag])
-        laid_out.write.mode("overwrite").partitionBy(flag).parquet(f"{self.epochs}/epoch={epoch}")
+        laid_out.write.mode("overwrite").partitionBy(flag).parquet(self.folder(epoch))
         marker = self.spark.createDataFrame([(epoch,)], "epoch bigint")
         marker.coalesce(1).write.mode("append").parquet(self.commits)
         return seen.get["records"]

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators.validate import SchemaInvalid
 from stratalake.plans.ingest import cleansed_rows, validate_files
-from stratalake.sinks.tables import counted
 from stratalake.sources.files import (
     CSV_DIALECT, READ_ERROR, SOURCE_FILE, declared_names,
 )
@@ -80,7 +79,6 @@ def ingest_stream(
             batch = batch.filter(~F.col(SOURCE_FILE).isin([r[SOURCE_FILE] for r in invalid]))
         name = source.get("name", "file_stream")
         rows = cleansed_rows(batch, source, f"{name}-{number}", at or datetime.now())
-        rows, _ = counted(rows, None)
         rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{BATCH}={number}")
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

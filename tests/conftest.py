@@ -27,4 +27,5 @@ def frame(spark):
 def rows_of(df, *columns):
     """Rows as sorted tuples, null first."""
     chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=lambda t: [(v is not None, str(v)) for v in t])
+    rows = (tuple(r) for r in chosen.collect())
+    return sorted(rows, key=lambda t: [(v is not None, str(v)) for v in t])

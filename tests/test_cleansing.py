@@ -26,7 +26,8 @@ CHECKS = {
 
 def test_a_definition_runs_from_table_to_table(spark, frame, places):
     source, target = places
-    write_table(frame("id int, d date, p string", (1, datetime(2024, 5, 6), "CC"), (2, None, "x")), source)
+    rows = frame("id int, d date, p string", (1, datetime(2024, 5, 6), "CC"), (2, None, "x"))
+    write_table(rows, source)
     definition = {
         "source": source,
         "target": target,

@@ -51,7 +51,8 @@ def test_null_keys_are_one_group_of_duplicates(frame):
 
 def test_bounds_pass_and_null_passes(frame):
     df = frame("a int", (1,), (5,), (None,))
-    assert verdicts(df, {"name": "r", "type": "range_check", "column": "a", "min": 1, "max": 5})["r"].passed
+    closed = {"name": "r", "type": "range_check", "column": "a", "min": 1, "max": 5}
+    assert verdicts(df, closed)["r"].passed
     open_ends = {"name": "r", "type": "range_check", "column": "a", "min": 1, "max": 5,
                  "inclusive": False}
     assert verdicts(df, open_ends)["r"].records_failed == 2
@@ -188,7 +189,8 @@ def test_strict_gate_ignores_warnings(frame):
 
 def test_a_mistyped_column_is_reported_not_raised(frame):
     schema = {"columns": [{"name": "s", "type": "int", "constraints": {"min": 3}}]}
-    got = {r.rule: r.violations for r in validate_schema(frame("s string", ("x",), ("1",)), schema).collect()}
+    findings = validate_schema(frame("s string", ("x",), ("1",)), schema).collect()
+    got = {r.rule: r.violations for r in findings}
     assert got == {"type": 1, "min": 1}
 
 
