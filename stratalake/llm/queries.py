@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontamination, line_dedup, mixing, url_filter
+from stratalake.llm import (
+    decontamination,
+    line_dedup,
+    mixing,
+    topk_search,
+    toxicity,
+    url_filter,
+    warc,
+)
 from stratalake.llm.common import query, table
 
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -13,7 +21,7 @@ UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 OP1_SQL = rf"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
   FROM documents
 ), keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -23,7 +31,7 @@ WITH lines AS (
   SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
 )
 SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE f.key IS NULL), ''))
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE f.key IS NULL), ''))
          AS kept_sha256
 FROM keyed k LEFT JOIN frequent f ON k.key = f.key
 GROUP BY doc_id
@@ -146,3 +154,74 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+OP2_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v),
+           lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op2_topk_search", OP2_SQL)
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk_search.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20, factor=64)
+
+
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages
+), coded AS (
+  SELECT *, list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(h, 10 * (i // 8) + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INTEGER + 1,
+      1) for i in range(0, 32)], 'string_agg', '') AS payload_digest
+  FROM p
+), firsts AS (
+  SELECT payload_digest, payload_bytes, min(page_id) AS first FROM coded GROUP BY ALL
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM coded JOIN firsts USING (payload_digest, payload_bytes)
+"""
+
+
+@query("op8_warc", OP8_SQL)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    kind = dict(pages.dtypes)["page_id"]
+
+    def page(name: str):
+        return F.regexp_extract(name, "<urn:page:(.*)>", 1)
+
+    return warc.round_trip(pages, min_revisit_bytes=0).select(
+        F.when(page("record_id") != "", page("record_id")).cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, machine).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
