@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from stratalake.llm import (
     decontamination,
     line_dedup,
+    minhash,
     mixing,
     topk_search,
     toxicity,
     url_filter,
     warc,
 )
-from stratalake.llm.common import query, table
+from stratalake.llm.common import ORACLE, QUERIES, query, table  # noqa: F401
 
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -225,3 +226,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op5_minhash")
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs).select("doc_id", "class_id", "keep")
