@@ -10,6 +10,7 @@ from stratalake.llm import (
     line_dedup,
     minhash,
     mixing,
+    substring_dedup,
     topk_search,
     toxicity,
     url_filter,
@@ -232,3 +233,37 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs).select("doc_id", "class_id", "keep")
+
+
+OP10_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)
+), repeated AS (
+  SELECT doc_id, i FROM windows JOIN (SELECT win FROM windows GROUP BY win HAVING count(*) > 1)
+    USING (win)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place FROM repeated
+), placed AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM words WHERE len(w) > 0
+), kept AS (
+  SELECT p.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p.place) AS text
+  FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op10_substring_dedup", OP10_SQL)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeated_words(docs, window=35).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_removed",
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
