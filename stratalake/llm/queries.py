@@ -11,6 +11,7 @@ from stratalake.llm import (
     minhash,
     mixing,
     substring_dedup,
+    suffix_dedup,
     topk_search,
     toxicity,
     url_filter,
@@ -267,3 +268,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.sha2("kept_text", 256).alias("kept_sha256"),
     )
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeated_bytes(docs, length=400).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

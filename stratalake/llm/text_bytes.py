@@ -59,9 +59,7 @@ class Hasher:
 
     def windows(self, prefix: np.ndarray, length: int) -> np.ndarray:
         """The hash of every stretch of ``length``, by start."""
-        n = len(prefix) - length
-        if n <= 0:
-            return np.empty(0, U64)
+        n = max(0, len(prefix) - length)
         return mixed((prefix[length:] - prefix[:n]) * self.inverses[:n])
 
 
