@@ -49,7 +49,7 @@ LENGTH = 400
 #: Windows in a slice; the lengths of what surrounds a core fit a byte.
 SLICE = 32
 #: A core in more batches than this is hot.
-HOT = 64
+HOT = 16
 PLACE_BITS = np.uint64(30)
 
 
