@@ -9,11 +9,11 @@ of weight w costs as many points as are needed, not w of them, and no points aft
 which a whole signature is sure to be full are ever made.
 
 Texts of equal words form one node. Nodes that agree in a band of the signature meet in a bucket.
-There the node with most company is a pivot; the others of its bucket that are not connected to it
-yet are compared with it, shingle by shingle. Buckets of more than one component go on with twice as
-many further pivots in each round, until every two of their nodes have been compared or are connected.
-So no link between different texts of a bucket is lost, while a large group of copies, which its
-first pivot connects, costs one comparison each.
+First each node is compared, shingle by shingle, with the one of all its mates that has most company.
+Then every bucket of more than one component takes its nodes as pivots, those with most company first
+and twice as many in each round, and compares with them what is not connected to them, until every
+two of its nodes have been compared or are connected. So no link between different texts of a bucket
+is lost, while a large group of copies of one text costs one comparison each.
 """
 
 from __future__ import annotations
@@ -149,6 +149,32 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def first_bytes(signature: np.ndarray) -> list[bytes]:
+    """A byte of every component, to estimate similarities with."""
+    bits = np.ascontiguousarray(signature).view(np.uint64)
+    return [row.tobytes() for row in (mixed(bits) & np.uint64(255)).astype(np.uint8)]
+
+
+def promising(threshold: float):
+    """Keeps pairs but those whose signatures agree in far too few components.
+
+    At the threshold the number that agrees is binomial; six deviations below its mean is once in
+    10 ** 8 or less.
+    """
+    size = BANDS * ROWS
+    least = size * threshold - 6 * np.sqrt(size * threshold * (1 - threshold))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            a, b = (
+                np.frombuffer(b"".join(got[c].to_pylist()), np.uint8).reshape(-1, size)
+                for c in ("sketch_a", "sketch_b")
+            )
+            yield got.select(["a", "b"]).filter(pa.array((a == b).sum(axis=1) >= least))
+
+    return kept
+
+
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of letters and digits; texts without any, words of whatever is not blank."""
     starts, ends, first = words_in(data, at, LETTERS)
@@ -199,8 +225,9 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(nodes, pa.binary()),
                     pa.array(size),
                     lists,
+                    pa.array(first_bytes(found), pa.binary()),
                 ],
-                ["__id", "__text", "node", "size", "bands"],
+                ["__id", "__text", "node", "size", "bands", "sketch"],
             )
 
 
@@ -267,6 +294,7 @@ def near_duplicates(
             StructField("node", BinaryType()),
             StructField("size", LongType()),
             StructField("bands", ArrayType(LongType())),
+            StructField("sketch", BinaryType()),
         ]
     )
     sketches = stage(keyed.mapInArrow(by_value(sketch), schema), "sketches")
@@ -275,6 +303,7 @@ def near_duplicates(
         with_words.groupBy("node").agg(
             F.min("size").alias("size"),
             F.min("bands").alias("bands"),
+            F.min("sketch").alias("sketch"),
             F.min(F.struct(F.col("__id").isNull(), "__id", "__text")).alias("row"),
         ),
         "nodes",
@@ -320,59 +349,68 @@ def linked_nodes(nodes: DataFrame, keyed: DataFrame, threshold: float) -> DataFr
     shared = met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = stage(shared, "shared-buckets")
     met = stage(met.join(shared, "bucket"), "bucket-members")
-    # Nodes with most company come first; among equals the least hash.
+    # Nodes with most company come first; among equals the greatest hash.
     company = met.groupBy("node").agg(F.sum("n").alias("company"))
-    by_company = Window.partitionBy("bucket").orderBy(F.desc("company"), "node")
-    met = met.join(company, "node")
-    texts = None
-    links = None
-    compared = 0
-    pivots = 1
+    met = stage(met.join(company, "node"), "bucket-members")
+    texts = node_texts(nodes, met, keyed)
+    links = verified(best_mates(met, threshold), nodes, texts, threshold)
+    by_company = Window.partitionBy("bucket").orderBy(F.desc("company"), F.desc("node"))
+    compared, pivots = 0, 1
     while True:
-        if links is None:
-            rooted = met.withColumn("root", F.col("node"))
-        else:
-            roots = connected(links)
-            rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed_buckets = (
+        # A link to the root says all that the links so far say.
+        roots = connected(links)
+        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        open_buckets = (
             rooted.groupBy("bucket")
             .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("m"))
-            .filter(F.col("least") != F.col("most"))
-            .filter(F.col("m") > compared)
+            .filter((F.col("least") != F.col("most")) & (F.col("m") > compared))
             .select("bucket")
         )
-        rooted = stage(rooted.join(mixed_buckets, "bucket", "left_semi"), "open-buckets")
+        rooted = stage(rooted.join(open_buckets, "bucket", "left_semi"), "open-buckets")
         if not rooted.limit(1).count():
-            break
-        ranked = rooted.withColumn("turn", F.row_number().over(by_company))
-        ranked = ranked.filter((F.col("turn") > compared) & (F.col("turn") <= compared + pivots))
-        chosen = stage(
-            ranked.select(
+            return links
+        turn = F.row_number().over(by_company)
+        chosen = (
+            rooted.withColumn("turn", turn)
+            .filter(F.col("turn") <= compared + pivots)
+            .filter(F.col("turn") > compared)
+            .select(
                 "bucket",
                 F.col("node").alias("b"),
                 F.col("root").alias("root_b"),
                 F.col("size").alias("size_b"),
-            ),
-            "pivots",
+            )
         )
         pairs = (
-            rooted.join(chosen, "bucket")
+            rooted.join(stage(chosen, "pivots"), "bucket")
             .filter(F.col("root") != F.col("root_b"))
             .filter(F.least("size", "size_b") >= threshold * F.greatest("size", "size_b"))
-            .select(
-                F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")
-            )
+            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
             .distinct()
         )
-        pairs = stage(pairs, "pairs")
-        if texts is None:
-            texts = node_texts(nodes, met, keyed)
-        found = verified(pairs, texts, threshold)
-        links = found if links is None else links.unionAll(found)
+        links = stage(links.unionAll(verified(pairs, nodes, texts, threshold)), "links-so-far")
         compared, pivots = compared + pivots, pivots * 2
-    if links is None:
-        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    return links
+
+
+def best_mates(met: DataFrame, threshold: float) -> DataFrame:
+    """Each node with the one of its bucket mates that has most company: one pair a node."""
+    mate = F.struct("company", "node", "size")
+    best = met.groupBy("bucket").agg(F.max(mate).alias("mate"))
+    best = stage(best, "best-mates")
+    rank = F.struct(F.col("mate.company"), F.col("mate.node"), F.col("mate.size"))
+    near = F.least("size", "mate.size") >= threshold * F.greatest("size", "mate.size")
+    return (
+        met.join(best, "bucket")
+        .filter((F.col("mate.node") != F.col("node")) & near)
+        .groupBy("node")
+        .agg(F.max(rank).alias("mate"))
+        .select(
+            F.least("node", "mate.node").alias("a"), F.greatest("node", "mate.node").alias("b")
+        )
+        .distinct()
+    )
+
 
 
 def node_texts(nodes: DataFrame, met: DataFrame, keyed: DataFrame) -> DataFrame:
@@ -386,7 +424,12 @@ def node_texts(nodes: DataFrame, met: DataFrame, keyed: DataFrame) -> DataFrame:
     return stage(found.dropDuplicates(["node"]), "texts-of-nodes")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The similar among the pairs; signatures rule out what is far from it before texts move."""
+    left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
+    pairs = pairs.join(left, "a").join(right, "b")
+    pairs = stage(pairs.mapInArrow(by_value(promising(threshold)), "a binary, b binary"), "promising-pairs")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     schema = StructType(
