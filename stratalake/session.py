@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,10 +17,12 @@ FAILURES = (PySparkException, Py4JJavaError)
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    That folder is shared by all executors. Only where the setting is absent, as in local
-    tests, a new temporary folder stands in for it.
+    That folder is shared by all executors. Only in local mode, where the driver is the one
+    executor, a new temporary folder stands in for a missing setting.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="stratalake-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

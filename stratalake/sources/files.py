@@ -115,18 +115,36 @@ def dated_paths(pattern: str, first: date, last: date | None = None) -> list[str
 
 
 def csv_headers(files: DataFrame, options: dict[str, Any] | None = None) -> DataFrame:
-    """``(file_path, path, header)``: the first record of each listed file, read in tasks."""
+    """``(file_path, path, header)``: each listed file's header, read in tasks.
+
+    As for Spark, that is the first record that is neither blank nor a comment, without a
+    byte-order mark. A file without a byte has null, one without such a record an empty list.
+    """
     given = {**CSV_DIALECT, **(options or {})}
-    dialect = {"delimiter": given["delimiter"], "quotechar": given["quote"]}
-    encoding = given.get("encoding", "utf-8")
+    dialect = {"delimiter": given.get("sep", given["delimiter"]), "quotechar": given["quote"]}
+    encoding = given.get("charset", given.get("encoding", "utf-8"))
+    if encoding.lower().replace("-", "").replace("_", "") == "utf8":
+        encoding = "utf-8-sig"
+    comment = given.get("comment") or None
+
+    def header_lines(text: io.TextIOBase) -> Iterator[str]:
+        begun = False
+        for line in text:
+            if not begun and (not line.strip() or (comment and line.startswith(comment))):
+                continue
+            begun = True
+            yield line
 
     def first_records(batches: Iterator) -> Iterator:
         for listed in batches:
             headers = []
             for path in listed["path"]:
                 with open_input(path) as stream:
-                    text = io.TextIOWrapper(stream, encoding=encoding, newline="")
-                    headers.append(next(csv.reader(text, **dialect), []))
+                    buffered = io.BufferedReader(stream)
+                    text = io.TextIOWrapper(buffered, encoding=encoding, newline="")
+                    empty = not text.buffer.peek(1)
+                    found = next(csv.reader(header_lines(text), **dialect), [])
+                    headers.append(None if empty else found)
             yield listed.assign(header=headers)
 
     listed = files.select("file_path", "path")
@@ -197,9 +215,12 @@ def _read_csv_files(spark, files, schema, options) -> DataFrame:
     if found is None:
         paths = [r.path for r in files.select("path").collect()]
         return _with_file(scan_csv(spark, paths, schema, options))
+    bare = [r.path for r in found if r.header is not None and not r.header]
+    if bare:
+        raise ValueError(f"no header in {len(bare)} files, among them {sorted(bare)[:5]}")
     groups: dict[tuple[str, ...], list[str]] = {}
     for r in found:
-        groups.setdefault(tuple(r.header), []).append(r.path)
+        groups.setdefault(tuple(r.header or ()), []).append(r.path)
     scans = [
         _with_file(scan_csv(spark, sorted(paths), list(header), options))
         for header, paths in sorted(groups.items())

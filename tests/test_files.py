@@ -472,3 +472,46 @@ def test_a_damaged_compressed_file_loads_none_of_its_rows(spark, tmp_path, place
         ingest_files(spark, given, places[0], AT, ledger=places[1])
     got = ingest_files(spark, given, places[0], AT, ledger=places[1], fail_on_error=False)
     assert (got.files_processed, got.files_failed, got.records) == (2, 1, 400_000)
+
+
+@pytest.mark.parametrize(
+    ("content", "options"),
+    [
+        (b"\n\nid,name\n1,x\n2,y\n", {}),
+        (b"\xef\xbb\xbfid,name\n1,x\n2,y\n", {}),
+        (b"id;name\n1;x\n2;y\n", {"sep": ";"}),
+        (b"# made by hand\nid,name\n1,x\n2,y\n", {"comment": "#"}),
+        ("id,name\n1,x\n2,y\n".encode("utf-16"), {"charset": "utf-16", "multiLine": "true"}),
+    ],
+)
+def test_headers_are_found_where_spark_finds_them(spark, tmp_path, content, options):
+    (tmp_path / "a.csv").write_bytes(content)
+    source = {"type": "csv", "read_options": options}
+    got = files.read_many(spark, source, files.discover_files(spark, str(tmp_path)))
+    assert rows_of(got, "id", "name") == [("1", "x"), ("2", "y")]
+
+
+def test_a_file_of_bytes_without_header_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"id\n1\n")
+    (tmp_path / "b.csv").write_bytes(b"\n \n")
+    (tmp_path / "c.csv").write_bytes(b"")
+    listed = files.discover_files(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="no header in 1 files"):
+        files.read_many(spark, {"type": "csv"}, listed)
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode():
+    from types import SimpleNamespace
+
+    from stratalake.session import scratch_dir
+
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    assert scratch_dir(session("local[4]"), "x").startswith("file://")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(session(master), "x")
