@@ -106,7 +106,7 @@ class Distinct:
         """A row per bucket that has any."""
         buckets = (self.keys[0] >> np.uint64(64 - bits)).astype(np.int64)
         names, starts = np.unique(buckets, return_index=True)
-        ends = np.append(starts[1:], len(buckets))
+        ends = np.append(starts, len(buckets))[1:]  # none without fingerprints
         rows = [
             b"".join(k[s:e].tobytes() for k in self.keys) for s, e in zip(starts, ends, strict=True)
         ]

@@ -232,15 +232,13 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
     files = spark.read.format("binaryFile").load(path).filter("length > 0").select("path", "content")
     found = stage(files.mapInArrow(by_value(listed), CANDIDATE), "warc-candidates")
+    sizes = found.filter("at < 0").select("file", "size")
+    found = found.filter("at >= 0")
     reached = reached_places(found)
     # The places reached are records, and one beyond the last of each file.
     ends = reached.groupBy("file").agg(F.max("at").alias("at"))
-    sizes = found.groupBy("file").agg(F.max("size").alias("size"))
-    broken = sizes.join(ends, "file", "left").filter("at is null or at <> size")
-    unlisted = files.select("path").join(
-        found.select(F.col("file").alias("path")).distinct(), "path", "left_anti"
-    )
-    bad = [r[0] for r in broken.select("file").unionAll(unlisted).limit(5).collect()]
+    broken = sizes.join(ends, "file", "left").filter("coalesce(at, 0) <> size")
+    bad = [r["file"] for r in broken.limit(5).collect()]
     if bad:
         raise ValueError(f"damaged archives, among them {bad}")
     records = found.join(reached, ["file", "at"], "left_semi")
