@@ -9,11 +9,11 @@ of weight w costs as many points as are needed, not w of them, and no points aft
 which a whole signature is sure to be full are ever made.
 
 Texts of equal words form one node. Nodes that agree in a band of the signature meet in a bucket.
-First each node is compared, shingle by shingle, with the one of all its mates that has most company.
-Then every bucket of more than one component takes its nodes as pivots, those with most company first
-and twice as many in each round, and compares with them what is not connected to them, until every
-two of its nodes have been compared or are connected. So no link between different texts of a bucket
-is lost, while a large group of copies of one text costs one comparison each.
+First each node is compared, shingle by shingle, with the one of all its mates that has most company;
+that connects nearly all of a group of copies. What is left are nodes that their bucket's largest
+component has not taken in. Buckets are cut into blocks of some 64 nodes, and each such node is
+compared with its whole bucket, two blocks at a time by a product of matrices. So no link between
+different texts of a bucket is lost, and no pair that is not similar becomes a row.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -54,6 +54,9 @@ BANDS, ROWS = 30, 5
 #: Bits of a shingle's hash beside a text's number within a batch.
 BITS = 44
 PIECE = 4_000_000
+#: Nodes, and shingles, that a block holds on average; blocks of a bucket that a task reads together.
+BLOCK_NODES, BLOCK_SHINGLES, SLICE_BLOCKS = 64, 2**16, 16
+MATRIX_COLUMNS = 8192
 
 
 def bags(
@@ -231,6 +234,92 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def expanded_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per node its bag as a set: a shingle that occurs w times gives w different hashes."""
+    one, two = Hasher(51), Hasher(52)
+    for got in batches:
+        data, bounds = bytes_of(got["text"])
+        for begin, end in pieces(bounds, PIECE):
+            at = bounds[begin : end + 1] - bounds[begin]
+            text = LOWER[data[bounds[begin] : bounds[end]]]
+            starts, ends, first = tokens(text, at)
+            hashes = one.between(one.of_bytes(text), starts, ends)
+            owner, shingle, weight = bags(two, hashes, first)
+            turn = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+            turn = turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            found = mixed(np.repeat(shingle, weight) + turn)
+            cuts = np.cumsum(np.bincount(owner, weight, end - begin).astype(np.int64))[:-1]
+            sets = [part.tobytes() for part in np.split(found, cuts)]
+            yield pa.RecordBatch.from_arrays(
+                [got["node"].slice(begin, end - begin), pa.array(sets, pa.binary())],
+                ["node", "bag"],
+            )
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left has in common with each on the right."""
+    every = [np.concatenate(side) for side in (left, right)]
+    common = np.intersect1d(*every)
+    shared = np.zeros((len(left), len(right)))
+    if not len(common):
+        return shared
+    placed = []
+    for side, joined in zip((left, right), every, strict=True):
+        owner = np.repeat(np.arange(len(side)), [len(x) for x in side])
+        place = np.minimum(np.searchsorted(common, joined), len(common) - 1)
+        known = common[place] == joined
+        placed.append((owner[known], place[known]))
+    for low in range(0, len(common), MATRIX_COLUMNS):
+        width = min(MATRIX_COLUMNS, len(common) - low)
+        halves = []
+        for side, (owner, place) in zip((left, right), placed, strict=True):
+            here = (place >= low) & (place < low + width)
+            matrix = np.zeros((len(side), width), np.float32)
+            matrix[owner[here], place[here] - low] = 1
+            halves.append(matrix)
+        shared += halves[0] @ halves[1].T
+    return shared
+
+
+def similar_blocks(threshold: float):
+    """Links between the components of two blocks of nodes; no more than connect them."""
+
+    def linked(nodes_a: list[dict], nodes_b: list[dict]) -> list[tuple[bytes, bytes]]:
+        left, right = (
+            [np.frombuffer(n["bag"], np.uint64) for n in side] for side in (nodes_a, nodes_b)
+        )
+        shared = overlaps(left, right)
+        sizes = np.add.outer([len(x) for x in left], [len(x) for x in right])
+        parent: dict[bytes, bytes] = {}
+
+        def top(root: bytes) -> bytes:
+            while root in parent:
+                root = parent[root]
+            return root
+
+        found = []
+        for i, j in zip(*np.nonzero(shared >= threshold * (sizes - shared)), strict=True):
+            a, b = nodes_a[i]["root"], nodes_b[j]["root"]
+            top_a, top_b = top(a), top(b)
+            if top_a != top_b:
+                parent[top_a] = top_b
+                found.append((a, b))
+        return found
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            found = [
+                link
+                for a, b in zip(got["nodes_a"], got["nodes_b"], strict=True)
+                for link in linked(a.as_py(), b.as_py())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([link[k] for link in found], pa.binary()) for k in (0, 1)], ["a", "b"]
+            )
+
+    return links
+
+
 def similar(threshold: float):
     """Keeps the pairs whose texts' bags overlap enough."""
 
@@ -354,43 +443,85 @@ def linked_nodes(nodes: DataFrame, keyed: DataFrame, threshold: float) -> DataFr
     met = stage(met.join(company, "node"), "bucket-members")
     texts = node_texts(nodes, met, keyed)
     links = verified(best_mates(met, threshold), nodes, texts, threshold)
-    by_company = Window.partitionBy("bucket").orderBy(F.desc("company"), F.desc("node"))
-    compared, pivots = 0, 1
-    while True:
-        # A link to the root says all that the links so far say.
-        roots = connected(links)
-        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_buckets = (
-            rooted.groupBy("bucket")
-            .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("m"))
-            .filter((F.col("least") != F.col("most")) & (F.col("m") > compared))
-            .select("bucket")
-        )
-        rooted = stage(rooted.join(open_buckets, "bucket", "left_semi"), "open-buckets")
-        if not rooted.limit(1).count():
-            return links
-        turn = F.row_number().over(by_company)
-        chosen = (
-            rooted.withColumn("turn", turn)
-            .filter(F.col("turn") <= compared + pivots)
-            .filter(F.col("turn") > compared)
-            .select(
-                "bucket",
-                F.col("node").alias("b"),
-                F.col("root").alias("root_b"),
-                F.col("size").alias("size_b"),
-            )
-        )
-        pairs = (
-            rooted.join(stage(chosen, "pivots"), "bucket")
-            .filter(F.col("root") != F.col("root_b"))
-            .filter(F.least("size", "size_b") >= threshold * F.greatest("size", "size_b"))
-            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-            .distinct()
-        )
-        links = stage(links.unionAll(verified(pairs, nodes, texts, threshold)), "links-so-far")
-        compared, pivots = compared + pivots, pivots * 2
+    # A link to the root says all that the links so far say.
+    roots = connected(links)
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = stage(open_members(rooted), "open-members")
+    if not members.limit(1).count():
+        return links
+    return links.unionAll(stage(block_links(members, texts, threshold), "links-of-blocks"))
+
+
+def open_members(rooted: DataFrame) -> DataFrame:
+    """The nodes of buckets of more than one component, dealt into blocks.
+
+    ``main`` tells the nodes of the bucket's largest component, which need no comparison with one
+    another. Buckets of the very same nodes are one.
+    """
+    parts = rooted.groupBy("bucket", "root").agg(
+        F.count("*").alias("n"),
+        F.sum("size").alias("shingles"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two"),
+    )
+    largest = F.max(F.struct("n", "root", "shingles")).alias("largest")
+    buckets = parts.groupBy("bucket").agg(
+        largest,
+        F.sum("n").alias("n"),
+        F.sum("shingles").alias("shingles"),
+        F.bit_xor("one").alias("one"),
+        F.bit_xor("two").alias("two"),
+    )
+    buckets = buckets.filter(F.col("n") > F.col("largest.n")).dropDuplicates(["n", "one", "two"])
+
+    def blocks(n, shingles):
+        return F.ceil(F.greatest(n / BLOCK_NODES, shingles / BLOCK_SHINGLES))
+
+    sized = buckets.select(
+        "bucket",
+        F.col("largest.root").alias("main_root"),
+        blocks(F.col("largest.n"), F.col("largest.shingles")).alias("main_blocks"),
+        blocks(
+            F.col("n") - F.col("largest.n"), F.col("shingles") - F.col("largest.shingles")
+        ).alias("other_blocks"),
+    )
+    main = F.col("root") == F.col("main_root")
+    block = F.pmod(F.xxhash64(F.lit(2), "node"), F.when(main, F.col("main_blocks")).otherwise(F.col("other_blocks")))
+    return rooted.join(sized, "bucket").select(
+        "bucket", "node", "root", main.alias("main"), block.alias("block"), "other_blocks"
+    )
+
+
+def block_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: links between components, from all pairs of blocks but two of the main one.
+
+    A bucket's blocks meet in slices of 16 blocks at most against all, so no bucket owns a task.
+    """
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
+    bags_of = stage(wanted.mapInArrow(by_value(expanded_bags), "node binary, bag binary"), "bags")
+    blocks = members.join(bags_of, "node").groupBy("bucket", "main", "block", "other_blocks").agg(
+        F.collect_list(F.struct("root", "bag")).alias("nodes")
+    )
+    blocks = stage(blocks, "blocks")
+    some = blocks.filter("not main").select(
+        "bucket",
+        F.floor(F.col("block") / SLICE_BLOCKS).alias("slice"),
+        F.col("block").alias("here"),
+        F.col("nodes").alias("nodes_a"),
+    )
+    slices = F.sequence(F.lit(0), F.floor((F.col("other_blocks") - 1) / SLICE_BLOCKS))
+    every = blocks.select(
+        "bucket",
+        F.explode(slices).alias("slice"),
+        "main",
+        F.col("block").alias("there"),
+        F.col("nodes").alias("nodes_b"),
+    )
+    pairs = some.join(every, ["bucket", "slice"]).filter("main or there >= here")
+    return pairs.select("nodes_a", "nodes_b").mapInArrow(
+        by_value(similar_blocks(threshold)), "a binary, b binary"
+    )
 
 
 def best_mates(met: DataFrame, threshold: float) -> DataFrame:
@@ -412,7 +543,6 @@ def best_mates(met: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-
 def node_texts(nodes: DataFrame, met: DataFrame, keyed: DataFrame) -> DataFrame:
     """One text of every node that shares a bucket."""
     rows = nodes.join(met.select("node").distinct(), "node", "left_semi").select(
