@@ -62,12 +62,13 @@ def gold_customer_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     "gold_sales_metrics",
     f"""WITH sold AS (
       SELECT year(o_orderdate) AS order_year, month(o_orderdate) AS order_month,
-             c_mktsegment AS customer_segment, o_orderkey, l_quantity, {REVENUE} AS revenue
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)
-    SELECT order_year, order_month, customer_segment, count(DISTINCT o_orderkey) AS order_count,
+             c_mktsegment AS customer_segment, l_orderkey, l_quantity, {REVENUE} AS revenue
+      FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+        LEFT JOIN customer ON o_custkey = c_custkey)
+    SELECT order_year, order_month, customer_segment, count(DISTINCT l_orderkey) AS order_count,
            sum(l_quantity) AS units, cast(cast(sum(revenue) AS decimal(18,2)) AS double) AS revenue,
            cast((2 * cast(cast(sum(revenue) AS decimal(18,2)) * 100 AS bigint)
-                 + count(DISTINCT o_orderkey)) // (2 * count(DISTINCT o_orderkey)) AS bigint)
+                 + count(DISTINCT l_orderkey)) // (2 * count(DISTINCT l_orderkey)) AS bigint)
              / 100.0 AS average_order_value
     FROM sold GROUP BY ALL""",
 )

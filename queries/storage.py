@@ -65,7 +65,12 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enforce_schema(text.drop(sources.READ_ERROR), ORDERS)
 
 
-@query("scan_json", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+@query(
+    "scan_json",
+    """SELECT c_custkey, c_name, c_acctbal, c_mktsegment,
+      cast(c_nationkey AS varchar) AS c_nationkey -- not declared: kept, as text
+    FROM customer""",
+)
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = {
         "columns": [

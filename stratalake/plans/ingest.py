@@ -78,8 +78,14 @@ def validate_files(df: DataFrame, source: dict[str, Any]) -> DataFrame:
 def cleansed_rows(
     df: DataFrame, source: dict[str, Any], batch_id: str, at: datetime
 ) -> DataFrame:
-    """Rows as the raw table stores them: enforced schema plus audit columns."""
-    typed = enforce_schema(df.drop(READ_ERROR), source.get("schema", {"columns": []}))
+    """Rows as the raw table stores them: enforced schema plus audit columns.
+
+    Without strict validation malformed records load, too, and their text stays beside them.
+    """
+    schema = source.get("schema", {"columns": []})
+    if schema.get("strict_validation", True):
+        df = df.drop(READ_ERROR)
+    typed = enforce_schema(df, schema)
     name = source.get("name", "file_system")
     return add_audit_columns(typed, name, F.col(SOURCE_FILE), batch_id, at)
 

@@ -101,14 +101,15 @@ def sales_metrics(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -
     """Per order year, month and customer segment: orders, units, revenue, average order value.
 
     Lines shrink to one row per order before the join, so orders are counted without a
-    distinct, and the join moves a fraction of the lines.
+    distinct, and the join moves a fraction of the lines. Lines without their order, and orders
+    without their customer, count under a null month or segment; no revenue is lost.
     """
     per_order = lineitem.groupBy("l_orderkey").agg(
         F.sum(F.col("l_quantity").cast(QUANTITY)).alias("units"),
         F.sum(line_revenue()).alias("revenue"),
     )
-    sold = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    bought = sold.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    sold = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    bought = sold.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     grouped = bought.groupBy(
         F.year("o_orderdate").cast("bigint").alias("order_year"),
         F.month("o_orderdate").cast("bigint").alias("order_month"),

@@ -21,6 +21,7 @@ from stratalake.spec import quoted
 
 
 EPOCH = "store_epoch"
+COMMITS = "epoch bigint, stream string, batch bigint"
 
 
 class HistoryStore:
@@ -30,7 +31,8 @@ class HistoryStore:
         self.epochs = path.rstrip("/") + "/epochs"
         self.commits = path.rstrip("/") + "/commits"
         self.batches = path.rstrip("/") + "/batches"
-        none = spark.createDataFrame([], "epoch bigint")
+        self.late = path.rstrip("/") + "/late"
+        none = spark.createDataFrame([], COMMITS)
         none.write.mode("ignore").parquet(self.commits)
 
     def folder(self, epoch: int) -> str:
@@ -38,9 +40,14 @@ class HistoryStore:
 
     def latest(self) -> int | None:
         """The newest committed epoch, a single number; None for a store without commits."""
-        commits = self.spark.read.schema("epoch bigint").parquet(self.commits)
+        commits = self.spark.read.schema(COMMITS).parquet(self.commits)
         return commits.agg(F.max("epoch")).first()[0]
 
+    def applied(self, stream: str) -> int | None:
+        """The newest batch of one stream that a commit holds."""
+        commits = self.spark.read.schema(COMMITS).parquet(self.commits)
+        return commits.filter(F.col("stream") == stream).agg(F.max("batch")).first()[0]
+
     def read(self) -> DataFrame:
         """The whole dimension as of the newest commit."""
         epoch = self.latest()
@@ -59,10 +66,13 @@ class HistoryStore:
         """Current rows: reads their folder of the newest epoch and no other."""
         return self.read().filter(quoted(self.spec.is_current))
 
-    def commit(self, rows: DataFrame, epoch: int) -> int:
+    def commit(
+        self, rows: DataFrame, epoch: int, stream: str | None = None, batch: int | None = None
+    ) -> int:
         """Store the new current rows and the newly closed ones as one epoch.
 
-        An epoch already committed is left alone, so repeating a batch is harmless.
+        An epoch already committed is left alone. ``stream`` and ``batch`` say which batch of
+        which stream it holds, so that a repeated batch is known by its own number.
         """
         newest = self.latest()
         if newest is not None and epoch <= newest:
@@ -70,6 +80,6 @@ class HistoryStore:
         flag = self.spec.is_current
         laid_out, seen = counted(rows, [flag])
         laid_out.write.mode("overwrite").partitionBy(flag).parquet(self.folder(epoch))
-        marker = self.spark.createDataFrame([(epoch,)], "epoch bigint")
+        marker = self.spark.createDataFrame([(epoch, stream, batch)], COMMITS)
         marker.coalesce(1).write.mode("append").parquet(self.commits)
         return seen.get["records"]

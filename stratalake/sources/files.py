@@ -62,12 +62,20 @@ def scan_json(
     """Read JSON, one object per line; pass ``multiLine`` for files that are one value.
 
     Lines keep a large file splittable, which a multi-line file is not. Without a schema the
-    columns, nested ones included, come from an inference pass.
+    columns, nested ones included, come from an inference pass. With one, such a pass finds the
+    columns that are not declared; they follow the declared ones, as text.
     """
     if schema is None:
         return spark.read.options(**(options or {})).json(paths)
-    strings = string_struct([*declared_names(schema), READ_ERROR])
+    names = declared_names(schema)
     given = {"columnNameOfCorruptRecord": READ_ERROR, **(options or {})}
+    found = spark.read.options(**{"primitivesAsString": "true", **given}).json(paths).columns
+    known = {n.lower() for n in [*names, READ_ERROR]}
+    for name in found:
+        if name.lower() not in known:
+            known.add(name.lower())
+            names.append(name)
+    strings = string_struct([*names, READ_ERROR])
     return spark.read.schema(strings).options(**given).json(paths)
 
 

@@ -103,15 +103,17 @@ def _header_union(
         import pandas as pd
 
         for files in batches:
-            for content in files["content"]:
+            for path, content in zip(files["file_path"], files["content"]):
                 try:
-                    yield pd.DataFrame({"header": [_names(content, sheet, header)]})
+                    found = [_names(content, sheet, header)]
+                    yield pd.DataFrame({"file_path": [path], "header": found})
                 except Exception:
                     if not report_errors:
                         raise
 
-    found = files.mapInPandas(by_value(headers), "header array<string>").distinct()
-    lists = sorted(list(r.header) for r in found.collect())
+    found = files.mapInPandas(by_value(headers), "file_path string, header array<string>")
+    found = found.groupBy("header").agg(F.min("file_path").alias("first")).orderBy("first")
+    lists = [list(r.header) for r in found.collect()]
     return list(dict.fromkeys(name for names in lists for name in names))
 
 
@@ -122,8 +124,15 @@ def _names(content: bytes, sheet: str | None, header: bool) -> list[str]:
 
 
 def _header_names(cells: dict[int, str | None]) -> list[str]:
+    """One name per column; a header that comes again takes the number of its column."""
     width = max(cells, default=-1) + 1
-    return [cells.get(i) or f"_c{i}" for i in range(width)]
+    names: list[str] = []
+    for i in range(width):
+        name = cells.get(i) or f"_c{i}"
+        while name in names:
+            name = f"{name}_{i}"
+        names.append(name)
+    return names
 
 
 def _blocks(content, sheet, header, names, columns, empty_as_null) -> Iterator[list[list]]:
@@ -132,7 +141,7 @@ def _blocks(content, sheet, header, names, columns, empty_as_null) -> Iterator[l
     block: list[list] = []
     for cells in _sheet_rows(content, sheet):
         if places is None:
-            places = {n: i for i, n in reversed(list(enumerate(_header_names(cells))))}
+            places = {n: i for i, n in enumerate(_header_names(cells))}
             continue
         row = [cells.get(places[n]) if n in places else None for n in names]
         if empty_as_null:

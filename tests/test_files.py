@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.operators.enforce import enforce_schema
 from stratalake.operators.validate import SchemaInvalid
 from stratalake.plans import ingest
-from stratalake.plans.ingest import IngestFailed, ingest_files, ingest_table
+from stratalake.plans.ingest import IngestFailed, cleansed_rows, ingest_files, ingest_table
 from stratalake.sinks import control
 from stratalake.sinks.tables import ensure_table, table_name, write_files, write_table
 from stratalake.sources import files, incremental
@@ -515,3 +515,15 @@ def test_scratch_needs_a_shared_folder_off_local_mode():
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_dir(session(master), "x")
+
+
+def test_undeclared_json_columns_and_malformed_text_are_kept(spark, tmp_path):
+    path = put(tmp_path, "a.json", '{"id": 1, "more": {"x": 1}}\n{"id": 2, "note": "n"}\n{oops\n')
+    schema = {"columns": [{"name": "id", "type": "integer"}], "strict_validation": False}
+    df = files.scan_json(spark, path, schema)
+    assert df.columns == ["id", "more", "note", files.READ_ERROR]
+    rows = cleansed_rows(
+        df.withColumn("source_file", F.lit("a")), {"type": "json", "schema": schema}, "b", AT
+    )
+    found = {r.id: (r.more, r.note, r[files.READ_ERROR]) for r in rows.collect()}
+    assert found == {1: ('{"x": 1}', None, None), 2: (None, "n", None), None: (None, None, "{oops")}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import scd2, splits
 from stratalake.sinks.history import HistoryStore
+from stratalake.streaming.history import maintain_history
 from tests.conftest import FAILURES, rows_of
 
 SPEC = {
@@ -272,3 +273,33 @@ def test_keys_can_be_cut_along_any_number_or_time(frame):
         assert splits.hot_keys(df, ["k"], column, 0).count() == 1
     with pytest.raises(TypeError):
         splits.hot_keys(df, ["k"], "s", 0)
+
+
+def test_streams_onto_a_filled_store_skip_and_repeat_nothing(spark, tmp_path):
+    spec = {"business_keys": ["k"], "tracked_columns": ["v"]}
+    store = HistoryStore(spark, f"file://{tmp_path}/dim", spec)
+    fields = "k string, v int, t timestamp_ntz"
+
+    def changes(*rows):
+        return spark.sql("SELECT * FROM VALUES " + ", ".join(rows) + " AS c(k, v, t)").to(
+            spark.createDataFrame([], fields).schema
+        )
+
+    first = changes("('a', 1, timestamp_ntz'2024-01-01')", "('b', 1, timestamp_ntz'2024-01-01')")
+    store.commit(scd2.build_history(first, spec, "t"), 0)
+
+    def deliver(rows, checkpoint):
+        rows.write.mode("append").parquet(f"file://{tmp_path}/feed-{checkpoint}")
+        feed = spark.readStream.schema(rows.schema).parquet(f"file://{tmp_path}/feed-{checkpoint}")
+        maintain_history(feed, store, "t", f"file://{tmp_path}/{checkpoint}").awaitTermination()
+        found = store.read().select("k", "v", "version", "is_current").collect()
+        return sorted(tuple(r) for r in found)
+
+    news = changes("('a', 2, timestamp_ntz'2024-02-01')", "('c', 1, timestamp_ntz'2024-02-01')")
+    after = [("a", 1, 1, False), ("a", 2, 2, True), ("b", 1, 1, True), ("c", 1, 1, True)]
+    assert deliver(news, "one") == after
+    assert deliver(news, "one") == after  # the same changes again, in a second batch
+    assert deliver(news, "two") == after  # and from a stream of another checkpoint
+    late = changes("('a', 9, timestamp_ntz'2023-01-01')")
+    assert deliver(late, "two") == after
+    assert [r.v for r in spark.read.parquet(store.late).collect()] == [9]

@@ -144,3 +144,13 @@ def test_an_unreadable_workbook_fails_or_reports(spark, tmp_path):
     target = {"table": f"books_{abs(hash(str(tmp_path))):x}", "path": str(tmp_path / "data")}
     loaded = ingest_files(spark, source, target, AT, fail_on_error=False)
     assert (loaded.files_processed, loaded.files_failed, loaded.records) == (1, 1, 1)
+
+
+def test_equal_headers_and_the_order_of_files(spark, tmp_path):
+    twice = f'<row>{text("A1", "z")}{text("B1", "a")}{text("C1", "a")}</row>'
+    twice += f'<row>{text("A2", "1")}{text("B2", "2")}{text("C2", "3")}</row>'
+    write_book(tmp_path / "1.xlsx", {"S": twice})
+    write_book(tmp_path / "2.xlsx", {"S": f'<row>{text("A1", "b")}</row><row>{text("A2", "4")}</row>'})
+    df = scan_excel(spark, f"file://{tmp_path}")
+    assert df.columns[:4] == ["z", "a", "a_2", "b"]
+    assert sorted(tuple(r)[:4] for r in df.fillna("").collect()) == [("", "", "", "4"), ("1", "2", "3", "")]
