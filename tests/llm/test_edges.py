@@ -297,3 +297,18 @@ def test_copies_have_the_poisson_mean_and_one_order(spark):
     assert abs(share["a"] - 1500) < 200 and abs(share["b"] - 1500) < 200
     assert [r.shuffle_key for r in rows] == sorted(r.shuffle_key for r in rows)
     assert hashlib.md5(f"mix|order|{rows[0].doc_id}|{rows[0].copy}".encode()).hexdigest() == rows[0].shuffle_key
+
+
+def test_blocks_count_what_sets_share():
+    numbers = np.random.default_rng(4)
+    base = numbers.integers(0, 2**63, 20000, dtype=np.uint64)
+    sets = []
+    for size in (300, 20000):  # the second takes several matrices
+        for _ in range(12):
+            own = numbers.integers(0, 2**63, size // 9, dtype=np.uint64)
+            gone = int(numbers.integers(0, size // 5))
+            sets.append(np.unique(np.concatenate([base[gone:size], own[: gone // 2]])))
+    sets.append(np.empty(0, np.uint64))
+    shared = minhash.overlaps(sets, sets)
+    truth = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert (shared == np.array(truth)).all()
