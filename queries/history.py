@@ -30,8 +30,12 @@ TIME = "timestamp_ntz"
 
 def first_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of all nations but one, which arrive later."""
+    return customers(spark, sf_dir, "c_nationkey <> 3")
+
+
+def customers(spark: SparkSession, sf_dir: str, present: str = "true") -> DataFrame:
     rich = F.col("c_acctbal") >= 0
-    return table(spark, sf_dir, "customer").filter("c_nationkey <> 3").select(
+    return table(spark, sf_dir, "customer").filter(present).select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.when(rich, F.concat("c_mktsegment", F.lit("@example.com"))).alias("email"),
@@ -99,13 +103,17 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "scd2_initial_load",
-    f"""WITH {SNAPSHOTS}
+    f"""WITH everyone AS (
+      SELECT c_custkey AS customer_id, c_name AS customer_name,
+             CASE WHEN c_acctbal >= 0 THEN c_mktsegment || '@example.com' END AS email,
+             c_mktsegment AS customer_segment, c_acctbal AS balance
+      FROM customer)
     SELECT customer_id, customer_name, email, customer_segment, balance,
            timestamp '{FIRST}' AS valid_from_date, cast(NULL AS timestamp) AS valid_to_date,
-           true AS is_current_flag, 1 AS record_version, record_hash FROM first""",
+           true AS is_current_flag, 1 AS record_version, {HASH} AS record_hash FROM everyone""",
 )
 def scd2_initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded(spark, sf_dir)
+    return scd2.initial_load(customers(spark, sf_dir), SPEC, FIRST, TIME)
 
 
 @query("scd2_merge", f"WITH {SNAPSHOTS} SELECT * FROM dim")
@@ -193,11 +201,10 @@ def scd2_build_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH feed AS (SELECT * FROM events WHERE event_type <> 'error'), {HISTORY_SQL}
     SELECT e.event_id, e.user_id, e.ts, h.event_type AS doing, h.version AS doing_version
     FROM events e LEFT JOIN history h ON e.user_id = h.user_id AND h.valid_from <= e.ts
-      AND (h.valid_to IS NULL OR e.ts < h.valid_to)
-    WHERE e.event_type = 'error'""",
+      AND (h.valid_to IS NULL OR e.ts < h.valid_to)""",
 )
 def scd2_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each user was doing when an error occurred."""
+    """What each user was doing last, at the time of every event; errors are no doing."""
     events = table(spark, sf_dir, "events")
     doing = scd2.build_history(
         events.filter("event_type <> 'error'"),
@@ -206,8 +213,8 @@ def scd2_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["event_id"],
     )
     dim = doing.withColumnsRenamed({"event_type": "doing", "version": "doing_version"})
-    errors = events.filter("event_type = 'error'").select("event_id", "user_id", "ts")
-    return scd2.lookup(errors, dim, FEED_SPEC, "ts", ["doing", "doing_version"])
+    facts = events.select("event_id", "user_id", "ts")
+    return scd2.lookup(facts, dim, FEED_SPEC, "ts", ["doing", "doing_version"])
 
 
 @query("stream_scd2", f"WITH feed AS (SELECT * FROM events), {HISTORY_SQL} {FULL_HISTORY}")

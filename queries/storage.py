@@ -168,17 +168,20 @@ def scan_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "discover_files",
-    "SELECT o_orderstatus AS status, true AS found, true AS sized FROM orders GROUP BY 1",
+    """SELECT o_orderstatus AS status, cast(1 AS bigint) AS files, true AS sized
+    FROM orders GROUP BY 1""",
 )
 def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files listed by name pattern, without reading them."""
+    """Files listed by name pattern, without reading them: one of two kinds, one file a status."""
     folder = scratch_dir(spark, "discover")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    write_files(orders, folder, "parquet", partition_columns=["o_orderstatus"])
+    for kind in ("parquet", "json"):
+        one_each = orders.repartition("o_orderstatus")
+        one_each.write.mode("append").partitionBy("o_orderstatus").format(kind).save(folder)
     listed = sources.discover_files(spark, folder, "*.parquet", recursive=True)
     status = F.regexp_extract("file_path", "o_orderstatus=([^/]*)/", 1)
     return listed.groupBy(status.alias("status")).agg(
-        (F.count(F.lit(1)) > 0).alias("found"), F.every(F.col("length") > 0).alias("sized")
+        F.count(F.lit(1)).alias("files"), F.every(F.col("length") > 0).alias("sized")
     )
 
 

@@ -27,6 +27,7 @@ from typing import Any
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.session import FAILURES
 from stratalake.spec import SpecError, check_bounds, quoted
@@ -238,16 +239,25 @@ def enforce_gate(
     return False
 
 
-def run_quality_checks(df: DataFrame, checks: list[dict[str, Any]]) -> dict[str, Any]:
-    """Run the checks now and return ``{passed, checks: {name: result}, summary}``.
+def checked_now(df: DataFrame, checks: list[dict[str, Any]]) -> DataFrame:
+    """Run the checks now; their results, one row each, as ``quality_results`` gives them.
 
     A check whose expression fails while running, say on a bad cast in its SQL, would fail the
     aggregate it shares. Then each check runs alone, and only the faulty one counts as failed.
     """
+    results = quality_results(df, checks)
     try:
-        rows = quality_results(df, checks).collect()
+        rows = results.collect()
     except FAILURES:
         rows = [r for c in named_checks(checks) for r in _run_alone(df, c)]
+    # A check that raised has counted nothing.
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in results.schema.fields])
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def run_quality_checks(df: DataFrame, checks: list[dict[str, Any]]) -> dict[str, Any]:
+    """Run the checks now and return ``{passed, checks: {name: result}, summary}``."""
+    rows = checked_now(df, checks).collect()
     found = {r.check_name: r for r in rows}
     ordered = [found[c["name"]] for c in named_checks(checks)]
     passed = sum(r.passed for r in ordered)
@@ -275,9 +285,8 @@ def _run_alone(df: DataFrame, check: dict[str, Any]) -> list:
 def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> DataFrame:
     """Per column: rows, nulls, distinct values, min, max (as text) and mean (numeric columns).
 
-    Distinct counts are sketches by default, so the profile is one aggregate over one scan.
-    ``exact`` counts them by grouping each column alone, which reads only that column and
-    combines values before the shuffle.
+    Either way the profile is one aggregate over one scan. Distinct counts are sketches by
+    default; ``exact`` makes Spark group each column's values, combined before their shuffle.
     """
     aggs, rows = [F.count(F.lit(1)).alias("n")], []
     for i, name in enumerate(columns):
@@ -292,29 +301,17 @@ def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> D
             F.max(value).cast("string").alias(f"max{i}"),
             mean.alias(f"mean{i}"),
         ]
-        if not exact:
-            aggs.append(F.approx_count_distinct(value).alias(f"distinct{i}"))
+        distinct = F.count_distinct if exact else F.approx_count_distinct
+        aggs.append(distinct(value).alias(f"distinct{i}"))
         rows.append(
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.col("n").alias("row_count"),
                 (F.col("n") - F.col(f"set{i}")).alias("null_count"),
-                (F.lit(None).cast("bigint") if exact else F.col(f"distinct{i}")).alias(
-                    "distinct_count"
-                ),
+                F.col(f"distinct{i}").alias("distinct_count"),
                 F.col(f"min{i}").alias("min_value"),
                 F.col(f"max{i}").alias("max_value"),
                 F.col(f"mean{i}").alias("mean_value"),
             )
         )
-    profile = df.agg(*aggs).select(F.inline(F.array(*rows)))
-    if not exact:
-        return profile
-    counts = [
-        df.select(quoted(n).alias("v")).filter("v IS NOT NULL").groupBy("v").count()
-        .agg(F.count(F.lit(1)).alias("distinct_count"))
-        .select(F.lit(n).alias("column_name"), "distinct_count")
-        for n in columns
-    ]
-    exact_counts = reduce(DataFrame.unionAll, counts)
-    return profile.drop("distinct_count").join(exact_counts, "column_name").select(*profile.columns)
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))

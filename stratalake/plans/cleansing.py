@@ -30,7 +30,7 @@ from stratalake.operators.columns import (
     default_nulls, derive_columns, filter_not_null, standardize_columns,
 )
 from stratalake.operators.dedup import deduplicate_latest
-from stratalake.operators.quality import enforce_gate, quality_results
+from stratalake.operators.quality import GATES, checked_now, enforce_gate, quality_results
 from stratalake.operators.scd2 import initial_load, merge_current
 from stratalake.plans.transforms import df_transform, sql_transform
 from stratalake.sinks.control import QUALITY_RESULTS, quality_rows
@@ -40,10 +40,11 @@ from stratalake.sinks.tables import ensure_table, table_name, write_table
 
 @dataclass
 class Cleansed:
-    """The resulting rows and, per checks step, the results on the rows at that step."""
+    """The resulting rows and, per checks step, the results, and the rows and checks of that step."""
 
     rows: DataFrame
     checks: list[DataFrame] = field(default_factory=list)
+    checked: list[tuple[DataFrame, list[dict[str, Any]]]] = field(default_factory=list)
 
 
 def apply_steps(df: DataFrame, steps: list[dict[str, Any]]) -> Cleansed:
@@ -53,6 +54,7 @@ def apply_steps(df: DataFrame, steps: list[dict[str, Any]]) -> Cleansed:
         kind = step["type"]
         if kind == "data_quality_checks":
             out.checks.append(quality_results(out.rows, step["checks"]))
+            out.checked.append((out.rows, step["checks"]))
         elif kind == "standardization":
             out.rows = standardize_columns(out.rows, step["rules"])
         elif kind == "derived_columns":
@@ -76,11 +78,14 @@ def run_cleansing(
     as_of: datetime | str | None = None,
     quality_table: dict[str, Any] | None = None,
     batch_id: str = "",
+    environment: str | None = None,
 ) -> int:
     """Read the source table, decide by its checks, write the target; returns the row count.
 
     The checks run on the stored table before anything is written; their results, one row
-    each, are kept in the quality table where one is given, also when they stop the run. With
+    each, are kept in the quality table where one is given, also when they stop the run. A check
+    that raises while running is a failed check. An environment's gate, where one is named, takes
+    the place of ``fail_on_error`` and ``max_error_threshold``. With
     change data capture the target's ``path`` is a ``HistoryStore``, which the cleansed rows
     join as a snapshot taken at ``as_of``.
     """
@@ -90,15 +95,17 @@ def run_cleansing(
     if "transform" in definition:
         rows = df_transform(rows, definition["transform"], **definition.get("config", {}))
     cleansed = apply_steps(rows, definition.get("transformations", []))
-    found = [spark.createDataFrame(r.collect(), r.schema) for r in cleansed.checks]
+    found = [checked_now(*step) for step in cleansed.checked]
     if quality_table and found:
         ensure_table(spark, {**QUALITY_RESULTS, **quality_table})
         kept = {**quality_table, "partition_columns": QUALITY_RESULTS["partition_columns"]}
         checked = table_name(definition["source"]).replace("`", "")
         for results in found:
-            write_table(quality_rows(results, checked, batch_id, F.current_timestamp()), kept)
+            rows = quality_rows(results, checked, batch_id, F.current_timestamp(), environment)
+            write_table(rows, kept)
+    gate = {"fail_on_error": fail_on_error, "max_error_threshold": max_error_threshold}
     for results in found:
-        enforce_gate(results, fail_on_error, max_error_threshold)
+        enforce_gate(results, **(GATES[environment] if environment else gate))
     target = dict(definition["target"])
     if "change_data_capture" in definition:
         return _keep_history(spark, cleansed.rows, definition["change_data_capture"], target, as_of)

@@ -201,7 +201,7 @@ def ingest_table(
     ensure_table(spark, marks)
     stored = stored_watermark(spark.table(table_name(marks)), source_name, table, cursor)
     batch_id = _cursor_batch(source_name, table, stored)
-    reached = _left_behind(spark, rows, target, cursor, stored, batch_id)
+    begun, reached = _left_behind(spark, rows, target, cursor, stored, batch_id)
 
     def advance(to: DataFrame) -> None:
         row = watermark_row(to, source_name, table, cursor, F.current_timestamp(), environment)
@@ -211,13 +211,16 @@ def ingest_table(
         advance(spark.createDataFrame([(reached,)], "watermark_value string"))
         stored, batch_id = reached, _cursor_batch(source_name, table, reached)
     upper = next_watermark(incremental_scan(rows, cursor, stored), cursor).first().watermark_value
-    if upper is None:
+    # The first batch takes the rows without a cursor value, also where no row has one.
+    nulls = stored is None and not begun
+    batch = _between(rows, cursor, stored, upper, nulls)
+    if upper is None and (not nulls or batch.isEmpty()):
         return result(None, 0)
-    batch = _between(rows, cursor, stored, upper)
     loaded = _stamped(batch, schema, source_name, batch_id, at)
     ensure_table(spark, target, loaded)
     written = write_table(loaded, target)
-    advance(spark.createDataFrame([(upper,)], "watermark_value string"))
+    if upper is not None:
+        advance(spark.createDataFrame([(upper,)], "watermark_value string"))
     return result(batch_id, written)
 
 
@@ -226,32 +229,39 @@ def _cursor_batch(source_name: str, table: str, stored: str | None) -> str:
     return hashlib.sha256(f"{source_name}|{table}|{stored}".encode()).hexdigest()[:32]
 
 
-def _between(rows: DataFrame, cursor: str, stored: str | None, upper: str) -> DataFrame:
-    """Rows past the stored value up to the upper one; the first load takes null cursors, too."""
+def _between(
+    rows: DataFrame, cursor: str, stored: str | None, upper: str | None, nulls: bool
+) -> DataFrame:
+    """Rows past the stored value up to the upper one, and those without a value if wanted."""
     reached = quoted(cursor) <= F.lit(upper).cast(rows.schema[cursor].dataType)
-    if stored is None:
+    if nulls:
         return rows.filter(reached | quoted(cursor).isNull())
     return incremental_scan(rows, cursor, stored).filter(reached)
 
 
-def _left_behind(spark, rows, target, cursor, stored, batch_id) -> str | None:
-    """How far a run came that wrote this batch and died before storing its cursor value.
+def _left_behind(spark, rows, target, cursor, stored, batch_id) -> tuple[bool, str | None]:
+    """Whether this batch reached the table, and up to which cursor value that is not stored yet.
+
+    A first batch of rows without cursor values has reached the table, but no value. Such rows
+    may have come since, so only rows with a value are counted.
 
     The source may have moved on since: rows that changed have a later cursor value now. So
     the table may hold more rows than the source still shows for that range, but not fewer.
     """
     if not spark.catalog.tableExists(table_name(target)):
-        return None
+        return False, None
     mine = spark.table(table_name(target)).filter(F.col("batch_id") == batch_id)
     found = mine.agg(
-        F.max(quoted(cursor)).cast("string").alias("reached"), F.count(F.lit(1)).alias("present")
+        F.max(quoted(cursor)).cast("string").alias("reached"),
+        F.count(F.lit(1)).alias("all"),
+        F.count(quoted(cursor)).alias("present"),
     ).first()
-    if not found.present:
-        return None
-    expected = _between(rows, cursor, stored, found.reached).count()
+    if found.reached is None:
+        return found["all"] > 0, None
+    expected = _between(rows, cursor, stored, found.reached, nulls=False).count()
     if found.present < expected:
         raise IngestFailed(f"batch {batch_id}: {found.present} of {expected} rows in the table")
-    return found.reached
+    return True, found.reached
 
 
 def _stamped(rows, schema, source_name, batch_id, at) -> DataFrame:

@@ -63,6 +63,21 @@ def test_failed_checks_stop_before_anything_is_written(spark, frame, places):
     assert run_cleansing(spark, definition, max_error_threshold=1) == 2
 
 
+def test_a_check_that_raises_is_a_failed_check(spark, frame, places):
+    source, target = places
+    write_table(frame("id int, p string", (1, "x"), (2, "3")), source)
+    checks = [{"type": "custom_sql", "condition": "cast(p as int) > 0"},
+              {"type": "null_check", "columns": ["id"]}]
+    definition = {
+        "source": source, "target": target,
+        "transformations": [{"type": "data_quality_checks", "checks": checks}],
+    }
+    with pytest.raises(QualityGateFailed, match="1 checks failed"):
+        run_cleansing(spark, definition, environment="prod")
+    assert run_cleansing(spark, definition, environment="test") == 2
+    assert run_cleansing(spark, definition, fail_on_error=False) == 2
+
+
 def test_sql_and_callable_transforms_come_first(spark, frame, places):
     source, target = places
     write_table(frame("id int", (1,), (2,)), source)

@@ -410,6 +410,23 @@ def test_tables_load_by_cursor_once(spark, frame, places):
     assert rows_of(stored, "watermark_value") == [("2024-01-02",), ("2024-01-03",)]
 
 
+def test_a_first_load_without_any_cursor_value_loads_once(spark, frame, places):
+    data, marks = places
+
+    def run(*rows):
+        return ingest_table(
+            spark, frame(TABLE, *rows), "erp", "t", data, AT, cursor="c", watermarks=marks
+        ).records
+
+    bare = [(8, None, "e"), (9, None, "f")]
+    assert run() == 0
+    assert run(*bare) == 2
+    assert run(*bare) == 0
+    assert run(*bare, *ROWS) == 3  # a value came; rows without one are there already
+    assert run(*bare, *ROWS) == 0
+    assert rows_of(spark.table(table_name(data)), "id") == [(1,), (2,), (4,), (8,), (9,)]
+
+
 def test_a_table_load_that_died_before_its_cursor_is_not_repeated(
     spark, frame, places, monkeypatch
 ):

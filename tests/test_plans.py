@@ -105,7 +105,8 @@ def test_history_moves_the_feed_once(spark):
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_no_query_multiplies_rows_by_rows(spark, name):
-    if name in ("stream_scd2", "bronze_ingest", "stream_ingest_files"):
+    stored = ("stream_scd2", "bronze_ingest", "stream_ingest_files")
+    if name in stored or name.startswith("cleansing_"):
         pytest.skip("reads back what it stored")
     text = plan(entry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
