@@ -53,7 +53,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 #: Bits of a shingle's hash beside a text's number within a batch.
 BITS = 44
-PIECE = 4_000_000
+#: Bytes of text that a task works on at a time: some 60 MB of arrays, whatever the batch holds.
+PIECE = 1_000_000
 #: Nodes, and shingles, that a block holds on average; blocks of a bucket that a task reads together.
 BLOCK_NODES, BLOCK_SHINGLES, SLICE_BLOCKS = 64, 2**16, 16
 MATRIX_COLUMNS = 8192
