@@ -33,9 +33,6 @@ RECORD_END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-#: A header is no longer than this; a longer one is no record's.
-HEADER_BYTES = 65_536
-
 
 def base32_sha1(payload: Column) -> Column:
     """40 hexadecimal digits as four numbers of 40 bits, each as 8 letters of 5 bits."""
@@ -129,30 +126,45 @@ def unzipped(content: bytes) -> bytes:
     return b"".join(out)
 
 
-def parsed_header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
-    """Fields by lower-cased name and where the block begins, if a record may begin at ``at``."""
-    end = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-    if end < 0:
-        return None
-    fields = {}
-    for line in data[at + len(MAGIC) : end].split(b"\r\n"):
+def headers_before(data: bytes, at: int, end: int) -> tuple[int, dict[str, tuple[int, str]]]:
+    """What the lines from ``at`` to a header's ``end`` say, whichever place the header begins at.
+
+    The place after the last line that is no field, where a header may begin at the earliest, and
+    by lower-cased name the last line's place and value.
+    """
+    fields: dict[str, tuple[int, str]] = {}
+    place = end
+    for line in reversed(data[at:end].split(b"\r\n")):
         name, colon, value = line.partition(b":")
         if not colon:
-            return None
-        fields[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
-    if not fields.get("content-length", "").isascii() or not fields.get("content-length", "").isdigit():
-        return None
-    return fields, end + 4
+            return place + 2, fields
+        place -= len(line)
+        found = (place, value.decode("utf-8", "replace").strip())
+        fields.setdefault(name.decode("latin-1").strip().lower(), found)
+        place -= 2
+    return at, fields
 
 
 def candidates_in(data: bytes) -> Iterator[dict]:
-    """Every place in a file where a record might begin, with the offset of its successor."""
-    at = data.find(MAGIC)
+    """Every place in a file where a record might begin, with the offset of its successor.
+
+    A header may have any length. All places before one header's end share that end and the lines
+    before it, which are read once.
+    """
+    at, last = data.find(MAGIC), -1
     while at >= 0:
-        found = parsed_header(data, at)
-        if found:
-            fields, begin = found
-            end = begin + int(fields["content-length"])
+        lines = at + len(MAGIC)
+        if last < lines - 2:
+            last = data.find(b"\r\n\r\n", lines - 2)
+            if last < 0:
+                return
+            earliest, known = headers_before(data, lines, last)
+        # Of a name that stands in several lines the last counts, so none before this place does.
+        fields = {n: v for n, (place, v) in known.items() if lines >= earliest and place >= lines}
+        length = fields.get("content-length", "")
+        if length.isascii() and length.isdigit():
+            begin = last + 4
+            end = begin + int(length)
             if data[end : end + 4] == b"\r\n\r\n":
                 payload = data[begin:end]
                 yield {
