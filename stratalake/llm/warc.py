@@ -114,16 +114,19 @@ def write_warc(
     )
 
 
-def unzipped(content: bytes) -> bytes:
-    """All members of a gzipped file one after another; other content as it is."""
+def unzipped(content: bytes) -> tuple[bytes, bool]:
+    """All members of a gzipped file one after another, and whether the last is whole.
+
+    Other content is given back as it is.
+    """
     if content[:2] != b"\x1f\x8b":
-        return content
-    out = []
-    while content:
+        return content, True
+    out, whole = [], True
+    while content and whole:
         member = zlib.decompressobj(31)
         out.append(member.decompress(content))
-        content = member.unused_data
-    return b"".join(out)
+        content, whole = member.unused_data, member.eof
+    return b"".join(out), whole
 
 
 def headers_before(data: bytes, at: int, end: int) -> tuple[int, dict[str, tuple[int, str]]]:
@@ -221,7 +224,8 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
     ``file, at, record_type, record_id, uri, refers_to, payload_digest, payload_bytes``, and the
     stored ``payload`` if asked for: a revisit has none. A file whose chain of records breaks off
-    before its end, or a response whose payload is not what its digest says, is an error.
+    before its end, a gzipped file that is cut, or a response whose payload is not what its digest
+    says, is an error.
     """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,10 +234,12 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
         schema = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in CANDIDATE.split(", ")])
         for got in batches:
             for name, content in zip(got["path"], got["content"], strict=True):
-                data = unzipped(content.as_py())
-                some = []
+                data, whole = unzipped(content.as_py())
+                # A row for the file itself, also where no record can begin.
+                size = len(data) if whole else None
+                some = [{**dict.fromkeys(names), "file": name.as_py(), "size": size, "at": -1}]
                 for found in candidates_in(data):
-                    found = {"file": name.as_py(), "size": len(data), **found}
+                    found = {"file": name.as_py(), "size": size, **found}
                     if not payloads:
                         found["payload"] = None
                     some.append({n: found[n] for n in names})
@@ -244,12 +250,12 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
     files = spark.read.format("binaryFile").load(path).filter("length > 0").select("path", "content")
     found = stage(files.mapInArrow(by_value(listed), CANDIDATE), "warc-candidates")
-    sizes = found.filter("at < 0").select("file", "size")
+    sizes = found.filter("at < 0").select("file", "size")  # without a size where a file is cut
     found = found.filter("at >= 0")
     reached = reached_places(found)
     # The places reached are records, and one beyond the last of each file.
     ends = reached.groupBy("file").agg(F.max("at").alias("at"))
-    broken = sizes.join(ends, "file", "left").filter("coalesce(at, 0) <> size")
+    broken = sizes.join(ends, "file", "left").filter("size is null or coalesce(at, 0) <> size")
     bad = [r["file"] for r in broken.limit(5).collect()]
     if bad:
         raise ValueError(f"damaged archives, among them {bad}")

@@ -1,4 +1,8 @@
-"""Archives with long headers."""
+"""Archives with long headers, and damaged ones."""
+
+import gzip
+
+import pytest
 
 from stratalake.llm import warc
 from stratalake.session import scratch_dir
@@ -26,3 +30,48 @@ def test_headers_that_share_their_end():
     assert found == [(at, end, "c", b"z") for at in starts]
     many = b"WARC/1.0\r\nContent-Length: 1\r\nX:" * 20_000
     assert sum(1 for _ in warc.candidates_in(many + b"1\r\n\r\nz\r\n\r\n")) == 20_000
+
+
+def record(page, payload, length=None):
+    digest = warc.b32encode(warc.hashlib.sha1(payload).digest()).decode()
+    return (
+        f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{page}>\r\n"
+        f"WARC-Payload-Digest: sha1:{digest}\r\nContent-Length: {length or len(payload)}\r\n\r\n"
+    ).encode() + payload + b"\r\n\r\n"
+
+
+def test_damaged_archives_are_errors(spark, tmp_path):
+    three = [record(i, b"page %d" % i) for i in range(3)]
+    whole = b"".join(three)
+    members = [gzip.compress(r) for r in three]
+    sound = {
+        "plain": whole,
+        "gzipped": gzip.compress(whole),
+        "a member each": b"".join(members),
+        "nothing, gzipped": gzip.compress(b""),
+        "nothing": b"",
+    }
+    damaged = {
+        "cut in a payload": whole[:-6],
+        "cut in a header": whole[: len(three[0]) + 30],
+        "wrong length": three[0] + record(1, b"page 1", 5) + three[2],
+        "wrong length at once": record(0, b"page 0", 7) + three[1],
+        "no record": b"nothing of the kind",
+        "no record, gzipped": gzip.compress(b"nothing of the kind"),
+        "cut gzip": gzip.compress(whole)[:-20],
+        "cut checksum": gzip.compress(whole)[:-3],
+        "cut last member": b"".join(members[:2]) + members[2][:12],
+    }
+    for i, content in enumerate(sound.values()):
+        (tmp_path / f"sound-{i}.warc").write_bytes(content)
+    found = warc.read_warc(spark, f"file://{tmp_path}")
+    assert sorted(r.record_id for r in found.collect()) == sorted(
+        f"<urn:page:{i}>" for i in range(3) for _ in range(3)
+    )
+    for i, (what, content) in enumerate(damaged.items()):
+        folder = tmp_path / f"damaged-{i}"
+        folder.mkdir()
+        (folder / "sound.warc").write_bytes(whole)
+        (folder / "damaged.warc").write_bytes(content)
+        with pytest.raises(ValueError, match=r"damaged archives, among them \['[^']*damaged.warc'\]"):
+            pytest.fail(f"{what}: {warc.read_warc(spark, f'file://{folder}').count()} rows")
