@@ -73,7 +73,7 @@ def whole_places(words: Column, n: int) -> Column:
 
 
 def item_windows(items: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
-    """``item, n, words`` for every window of every item with an identifier and a word."""
+    """``item, n, window`` for every window of every item with a word; ``item`` may be null."""
     words = F.col("words")
     n = F.least(F.size(words), F.lit(window))
     starts = F.sequence(F.lit(1), F.size(words) - n + 1)
@@ -82,7 +82,7 @@ def item_windows(items: DataFrame, window: int, id_column: str, text_column: str
             F.col(id_column).cast("string").alias("item"),
             words_of(F.col(text_column)).alias("words"),
         )
-        .filter(F.col("item").isNotNull() & (F.size("words") > 0))
+        .filter(F.size("words") > 0)
         .select(
             "item",
             n.alias("n"),
@@ -106,8 +106,8 @@ def find_contamination(
 
     A word is hit where it lies in an occurrence of a window of ``window`` consecutive words of an
     item, or of the whole of a shorter item. Null and empty texts have no words; items without
-    identifier or without words take no part; repeated rows get equal results, and repeated items
-    count once by identifier. Other columns pass through, and those named like a result are
+    words take no part, and items without identifier hit words, but are not among ``items``;
+    repeated rows get equal results, and repeated items count once by identifier. Other columns pass through, and those named like a result are
     replaced.
     """
     grams = window - gram + 1
