@@ -20,15 +20,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents lose the lines that at least ten documents share; ``n_chars`` follows.
 
-    A document of which nothing is left has nothing to train on and goes; documents that were
-    empty before stay.
+    Every document stays, also one of which no text is left.
     """
     done = line_dedup.drop_frequent_lines(docs)
-    emptied = (F.col("n_dropped") > 0) & (F.length(F.trim("kept_text")) == 0)
     text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
     chars = F.when(F.col("n_dropped") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
     kinds = dict(docs.dtypes)
-    return done.filter(~emptied).select(
+    return done.select(
         *[
             text.alias(c) if c == "text" else chars.cast(kinds[c]).alias(c) if c == "n_chars" else F.col(c)
             for c in docs.columns
@@ -37,10 +35,14 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, of the least identifier."""
-    kept = minhash.near_duplicates(docs).filter("keep")
+    """One document of each group of near-duplicates stays, of the least identifier.
+
+    Documents without text are like no other, and all stay.
+    """
+    blank = ~F.coalesce("text", F.lit("")).rlike(r"\S")
+    kept = minhash.near_duplicates(docs.filter(~blank)).filter("keep").select(*docs.columns)
     # Rows that agree in identifier and text are one document.
-    return kept.select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return kept.dropDuplicates(["doc_id", "text"]).unionAll(docs.filter(blank))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
