@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from stratalake.llm import (
     decontamination,
+    divergence,
     line_dedup,
+    merkle,
     minhash,
     mixing,
     substring_dedup,
@@ -15,9 +17,10 @@ from stratalake.llm import (
     topk_search,
     toxicity,
     url_filter,
+    vantage_trees,
     warc,
 )
-from stratalake.llm.common import ORACLE, QUERIES, query, table  # noqa: F401
+from stratalake.llm.common import ORACLE, QUERIES, ascii_lower, query, table  # noqa: F401
 
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -280,3 +283,155 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), used AS (
+  SELECT row, lang, source, translate(unnest(terms), UPPER_LOWER) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM used GROUP BY lang, term HAVING count(DISTINCT row) >= 10
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM used JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY ALL
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (total + 2 * v) AS p
+  FROM totals g JOIN kept k ON g.lang = k.lang JOIN sizes s ON s.lang = g.lang
+       LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), overall AS (
+  SELECT c.lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 2)) // (any_value(total) + 2 * any_value(v)) AS q
+  FROM counts c JOIN sizes s ON s.lang = c.lang
+       JOIN (SELECT lang, sum(total) AS total FROM totals GROUP BY lang) t ON t.lang = c.lang
+  GROUP BY c.lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+         coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p))
+                   FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM totals a JOIN totals b ON a.lang = b.lang AND a.source <> b.source
+), favoured AS (
+  SELECT s.lang, source, s.term AS item, ((p - q) * (p - q)) // (p + q) AS value
+  FROM shares s JOIN overall o ON s.lang = o.lang AND s.term = o.term WHERE n > 0 AND p > q
+), rows AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, value FROM favoured
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+""".replace("UPPER_LOWER", UPPER_LOWER)
+
+
+@query("op11_source_divergence", OP11_SQL)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "source", "text")
+    return divergence.audit_sources(docs, min_docs=10, top_terms=10)
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    parts = [f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+OP12_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce(':' || lang, '-') AS grp, {_leaf_sql("text")} AS leaf,
+         {_leaf_sql(f"translate(text, {UPPER_LOWER})")} AS lowered,
+         list_reduce(list_transform(range(1, length(doc_id::VARCHAR) + 1),
+                       lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)),
+           4294967295::BIGINT) AS crc
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY grp) AS n
+  FROM leaves
+), nodes(grp, lvl, idx, n, h) AS (
+  SELECT grp, 0, idx, n, leaf FROM placed
+  UNION ALL
+  SELECT grp, lvl + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY grp, lvl, idx // 8, n
+), subroots AS (
+  SELECT grp, lvl AS top, h, row_number() OVER (ORDER BY grp) - 1 AS idx, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), upper(lvl, idx, n, h) AS (
+  SELECT 0, idx, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM upper WHERE n > 1 GROUP BY lvl, idx // 8, n
+), fold(grp, place, lvl, idx, n, x, proof) AS (
+  SELECT grp, idx, 0, idx, n, CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN lowered ELSE leaf END, ''
+  FROM placed
+  UNION ALL
+  SELECT f.grp, f.place, f.lvl + 1, f.idx // 8, (f.n + 7) // 8,
+         sha256(string_agg(CASE WHEN n.idx = f.idx THEN f.x ELSE n.h END, '' ORDER BY n.idx)),
+         f.proof || coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (WHERE n.idx <> f.idx), '')
+  FROM fold f JOIN nodes n ON n.grp = f.grp AND n.lvl = f.lvl AND n.idx // 8 = f.idx // 8
+  WHERE f.n > 1 GROUP BY f.grp, f.place, f.lvl, f.idx, f.n, f.x, f.proof
+), rising(grp, place, lvl, idx, n, x, proof) AS (
+  SELECT f.grp, f.place, 0, s.idx, s.n, f.x, f.proof
+  FROM fold f JOIN subroots s ON s.grp = f.grp AND s.top = f.lvl WHERE f.n = 1
+  UNION ALL
+  SELECT f.grp, f.place, f.lvl + 1, f.idx // 8, (f.n + 7) // 8,
+         sha256(string_agg(CASE WHEN n.idx = f.idx THEN f.x ELSE n.h END, '' ORDER BY n.idx)),
+         f.proof || coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (WHERE n.idx <> f.idx), '')
+  FROM rising f JOIN upper n ON n.lvl = f.lvl AND n.idx // 8 = f.idx // 8
+  WHERE f.n > 1 GROUP BY f.grp, f.place, f.lvl, f.idx, f.n, f.x, f.proof
+)
+SELECT p.doc_id, p.leaf, s.h AS subroot, u.h AS root, sha256(r.proof) AS proof_sha256,
+       r.x AS folded_root, r.x = u.h AS verified
+FROM placed p JOIN rising r ON r.grp = p.grp AND r.place = p.idx AND r.n = 1
+     JOIN subroots s ON s.grp = p.grp JOIN (SELECT h FROM upper WHERE n = 1) u ON true
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents").select(columns)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(tampered, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    rows = merkle.manifest(docs, columns, fanout=8, suspects={"text": text})
+    folded_root = merkle.folded(F.col("suspect"), F.col("path"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        merkle.as_text(F.col("leaf")).alias("leaf"),
+        merkle.as_text(F.col("subroot")).alias("subroot"),
+        merkle.as_text(F.col("root")).alias("root"),
+        merkle.proof_hash(F.col("path")).alias("proof_sha256"),
+        folded_root.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP13_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])),
+                          lambda s, x: s + x)) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_vantage_search", OP13_SQL)
+def op13_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vantage_trees.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10, factor=1.0)
