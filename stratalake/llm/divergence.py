@@ -1,6 +1,6 @@
 """How sources of a language differ in the terms they use, from counts that are exact.
 
-Documents are cut at white space into chunks and counted, in tasks, before anything moves: a chunk's
+Documents are laid out by language and source, cut at white space into chunks and counted: a chunk's
 occurrences and documents per group, and which documents, as long as they are few. Counts meet by
 chunk, so each distinct chunk of the corpus is split into terms once, and its terms take over its
 counts. A document may hold a term in several chunks ("word," and "word"), so documents of chunks
@@ -12,12 +12,11 @@ Sources are compared in cells of some hundred sources by some thousand terms, as
 
 from __future__ import annotations
 
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +25,8 @@ from stratalake.llm.common import broadcast_below, stage
 
 #: A term is a run of ASCII letters and characters beyond ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-SCALE = 1_000_000_000
+#: Shares are whole numbers of billionths.
+SCALE = 1000**3
 #: Bytes of text counted at a time, and sources and terms of a cell.
 PIECE, SOURCES, TERMS = 16_000_000, 128, 2048
 #: Groups that may be sent to all executors.
@@ -38,18 +38,16 @@ CHUNKS = pa.schema([
 ])
 
 
-def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, str, int, bytes]]]:
-    held, size = [], 0
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of some ``PIECE`` bytes of text each; one text is never divided."""
     for got in batches:
-        for i in range(got.num_rows):
-            text = got["text"][i].as_py()
-            held.append((got["lang"][i].as_py(), got["source"][i].as_py(), got["row"][i].as_py(), text))
-            size += len(text)
-            if size >= PIECE:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
+        ends = np.cumsum(pc.binary_length(got["text"]).to_numpy())
+        start = 0
+        while start < got.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + PIECE, "right")))
+            yield got.slice(start, end - start)
+            start = end
 
 
 def count_chunks(few: int):
@@ -57,42 +55,40 @@ def count_chunks(few: int):
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            groups: dict[tuple[str, str], int] = {}
-            codes: dict[bytes, int] = {}
-            group, code, times, row = array("q"), array("q"), array("q"), array("q")
-            for lang, source, number, text in piece:
-                # Bytes are split at the six ASCII spaces, and only A-Z have a lower case.
-                chunks = Counter(text.lower().split())
-                code.extend([codes.setdefault(c, len(codes)) for c in chunks])
-                times.extend(chunks.values())
-                mine = groups.setdefault((lang, source), len(groups))
-                group.extend([mine] * len(chunks))
-                row.extend([number] * len(chunks))
-            if not codes:
+            # Both functions know ASCII only: six kinds of space, and A-Z.
+            chunks = pc.ascii_split_whitespace(pc.ascii_lower(piece["text"]))
+            words = chunks.flatten().dictionary_encode()
+            if not len(words):
                 continue
-            names = list(codes)
-            place = np.empty(len(names), np.int64)
-            place[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
-            key = place[np.frombuffer(code, np.int64)] * len(groups) + np.frombuffer(group, np.int64)
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            starts = np.flatnonzero(np.diff(key, prepend=-1))
-            documents = np.diff(np.append(starts, len(key)))
-            occurrences = np.add.reduceat(np.frombuffer(times, np.int64)[order], starts)
+            parent = pc.list_parent_indices(chunks).to_numpy().astype(np.int64)
+            langs, sources = piece["lang"].dictionary_encode(), piece["source"].dictionary_encode()
+            group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary)
+            group = group + sources.indices.to_numpy()
+            groups, group = np.unique(group, return_inverse=True)
+            # Chunk, group and document of every word in one number, sorted: equal ones are neighbours.
+            rows = piece.num_rows
+            key = words.indices.to_numpy().astype(np.int64) * len(groups) + group[parent]
+            key = np.sort(key * rows + parent)
+            firsts = np.flatnonzero(np.diff(key, prepend=-1))
+            pair, member = np.divmod(key[firsts], rows)
+            starts = np.flatnonzero(np.diff(pair, prepend=-1))
+            documents = np.diff(np.append(starts, len(pair)))
+            occurrences = np.diff(np.append(firsts[starts], len(key)))
             rare = documents < few
-            members = np.frombuffer(row, np.int64)[order][np.repeat(rare, documents)]
+            members = piece["row"].to_numpy()[member[np.repeat(rare, documents)]]
             ends = np.append(0, np.cumsum(np.where(rare, documents, 0)))
-            names.sort()
-            langs, sources = zip(*groups, strict=True)
-            which, whose = key[starts] // len(groups), key[starts] % len(groups)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(names, pa.binary()).cast(pa.string()).take(pa.array(which)),
-                pa.array(langs, pa.string()).take(pa.array(whose)),
-                pa.array(sources, pa.string()).take(pa.array(whose)),
+            chunk, place = np.divmod(pair[starts], len(groups))
+            lang, source = np.divmod(groups[place], len(sources.dictionary))
+            found = pa.RecordBatch.from_arrays([
+                words.dictionary.take(pa.array(chunk)),
+                langs.dictionary.take(pa.array(lang)),
+                sources.dictionary.take(pa.array(source)),
                 pa.array(occurrences),
-                pa.array(documents.astype(np.int64)),
+                pa.array(documents),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(members)),
             ], schema=CHUNKS)
+            # Text that begins or ends with a space has an empty chunk there.
+            yield found.filter(pc.not_equal(found["chunk"], ""))
 
     return counted
 
@@ -104,10 +100,9 @@ def chunk_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     but at the first place of a term that its chunk repeats; ``members`` are these documents, if
     fewer than ``min_docs``.
     """
-    rows = docs.select(
-        "lang", "source", F.col("text").cast("binary").alias("text"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+    rows = docs.select("lang", "source", "text", F.monotonically_increasing_id().alias("row"))
+    # Texts of a group side by side have far fewer distinct chunks to send; ranges split large groups.
+    rows = rows.repartitionByRange("lang", "source", F.xxhash64("row"))
     columns = "chunk string, lang string, source string, occurrences long, documents long, members array<long>"
     counts = rows.mapInArrow(by_value(count_chunks(min_docs)), columns).repartition("chunk")
     total = F.sum("documents")
@@ -148,9 +143,15 @@ def kept_terms(terms: DataFrame, min_docs: int) -> DataFrame:
 
 
 def share(count: Column, total: Column, vocabulary: Column) -> Column:
-    """``1 + floor(SCALE * (count + 2) / (total + 2 * vocabulary))`` without rounding."""
-    parts = F.lit(SCALE).cast("decimal(10,0)") * (count + 2).cast("decimal(19,0)")
-    return F.call_function("div", parts, (total + 2 * vocabulary).cast("decimal(19,0)")) + 1
+    """``1 + floor(SCALE * (count + 2) / (total + 2 * vocabulary))`` without rounding.
+
+    A long division of three digits at a time: no product leaves 64 bits.
+    """
+    rest, p, totals = count + 2, F.lit(0).cast("long"), total + 2 * vocabulary
+    for _ in range(3):
+        p = p * 1000 + F.call_function("div", rest * 1000, totals)
+        rest = rest * 1000 % totals
+    return p + 1
 
 
 def divergence(p: Column, q: Column) -> Column:
@@ -158,7 +159,7 @@ def divergence(p: Column, q: Column) -> Column:
 
 
 def shares_of(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """As ``share``, by long division of three digits at a time: no product leaves 64 bits."""
+    """As ``share``."""
     rest, p = counts + 2, np.zeros_like(counts)
     for _ in range(3):
         p = p * 1000 + rest * 1000 // totals
