@@ -197,14 +197,34 @@ def scd2_build_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "scd2_fact_lookup",
-    f"""WITH feed AS (SELECT * FROM events WHERE event_type <> 'error'), {HISTORY_SQL}
+    "scd2_build_history_split",
+    f"WITH feed AS (SELECT * FROM events), {HISTORY_SQL} {FULL_HISTORY}",
+)
+def scd2_build_history_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every user's rows cut into several splits."""
+    events = table(spark, sf_dir, "events")
+    return scd2.build_history(events, FEED_SPEC, "ts", ["event_id"], rows_per_split=20)
+
+
+LOOKUP_SQL = f"""WITH feed AS (SELECT * FROM events WHERE event_type <> 'error'), {HISTORY_SQL}
     SELECT e.event_id, e.user_id, e.ts, h.event_type AS doing, h.version AS doing_version
     FROM events e LEFT JOIN history h ON e.user_id = h.user_id AND h.valid_from <= e.ts
-      AND (h.valid_to IS NULL OR e.ts < h.valid_to)""",
-)
+      AND (h.valid_to IS NULL OR e.ts < h.valid_to)"""
+
+
+@query("scd2_fact_lookup", LOOKUP_SQL)
 def scd2_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each user was doing last, at the time of every event; errors are no doing."""
+    return doing_at_events(spark, sf_dir, rows_per_split=1_000_000)
+
+
+@query("scd2_fact_lookup_split", LOOKUP_SQL)
+def scd2_fact_lookup_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every user's facts and versions cut into several splits."""
+    return doing_at_events(spark, sf_dir, rows_per_split=20)
+
+
+def doing_at_events(spark: SparkSession, sf_dir: str, rows_per_split: int) -> DataFrame:
     events = table(spark, sf_dir, "events")
     doing = scd2.build_history(
         events.filter("event_type <> 'error'"),
@@ -214,7 +234,7 @@ def scd2_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dim = doing.withColumnsRenamed({"event_type": "doing", "version": "doing_version"})
     facts = events.select("event_id", "user_id", "ts")
-    return scd2.lookup(facts, dim, FEED_SPEC, "ts", ["doing", "doing_version"])
+    return scd2.lookup(facts, dim, FEED_SPEC, "ts", ["doing", "doing_version"], rows_per_split)
 
 
 @query("stream_scd2", f"WITH feed AS (SELECT * FROM events), {HISTORY_SQL} {FULL_HISTORY}")

@@ -23,9 +23,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.hashing import record_hash
 from stratalake.operators.checks import require
-from stratalake.operators.splits import (
-    HOT_SHARE, SPLIT, hot_keys, left_join, position, split_number, with_splits,
-)
+from stratalake.operators.splits import SPLIT, hot_keys, left_join, with_splits
 from stratalake.spec import quoted
 
 
@@ -197,62 +195,73 @@ def lookup(
     spec: dict[str, Any] | Scd2Spec,
     time: str,
     columns: list[str],
-    versions_per_split: int | None = 32,
+    rows_per_split: int | None = 1_000_000,
 ) -> DataFrame:
     """Add to each fact the ``columns`` of its member's version at the fact's own time.
 
-    Facts without a version keep their row, with nulls. The join is on the business keys with
-    the interval as a residual. Members with more than ``versions_per_split`` versions are cut
-    along time first: each version goes to the splits its interval touches, each fact to one,
-    so a fact meets a few dozen versions instead of all. Intervals of one member do not
-    overlap, hence a member with v versions in n splits takes at most v + n rows. None skips
-    the cut, for dimensions known to have few versions per member.
+    Facts without a version keep their row, with nulls. Facts and versions are merged along
+    time: one shuffle by member, in which the last version seen is the only one that can hold, as
+    versions of a member do not overlap. Members with more than ``rows_per_split`` facts and versions
+    are cut along time (see ``operators.splits``), and each of their splits starts with the version
+    that reaches it. None never cuts. Facts without a member or a time belong to no version and
+    are spread over many tasks.
     """
     s = Scd2Spec.of(spec)
-    keys = list(s.keys)
-    versions = dim.select(
-        *[quoted(k).alias(f"__k_{k}") for k in keys],
-        quoted(s.valid_from).alias("__from"),
-        quoted(s.valid_to).alias("__to"),
-        *[quoted(c).alias(f"__v_{c}") for c in columns],
+    keys, names = list(s.keys), [quoted(k) for k in s.keys]
+    start, ended = quoted(s.valid_from), quoted(s.valid_to)
+    both = facts.select(quoted(time)).limit(0).union(dim.select(start).limit(0))
+    kind = both.schema[0].dataType
+    version = F.struct(ended.cast(kind).alias("__to"), *[quoted(c) for c in columns])
+    versions = dim.filter(_all([n.isNotNull() for n in names]) & start.isNotNull()).select(
+        *names, start.cast(kind).alias("__at"), version.alias("__version")
     )
-    left = facts
-    on = [quoted(k) == quoted(f"__k_{k}") for k in keys]
-    if versions_per_split:
-        hot = hot_keys(
-            versions.withColumnsRenamed({f"__k_{k}": k for k in keys}),
-            keys, "__from", versions_per_split,
-        )
-        left = with_splits(facts, hot, keys, time)
-        versions = _spread(versions, hot, keys)
-        on.append(F.col(SPLIT) == F.col("__at_split"))
-    moment = quoted(time)
-    on += [
-        F.col("__from") <= moment,
-        F.col("__to").isNull() | (moment < F.col("__to")),
-    ]
-    joined = left.join(versions, _all(on), "left")
-    return joined.select(
-        *[quoted(c) for c in facts.columns], *[quoted(f"__v_{c}").alias(c) for c in columns]
+    moved = facts.select(
+        *names, quoted(time).cast(kind).alias("__at"),
+        F.struct(*[quoted(c) for c in facts.columns]).alias("__fact"),
+    )
+    merged = moved.unionByName(versions, allowMissingColumns=True)
+    cut = None
+    if rows_per_split is not None:
+        hot = hot_keys(merged.select(*names, "__at"), keys, "__at", rows_per_split)
+        cut = None if hot.isEmpty() else hot
+    if cut is None:
+        merged = merged.withColumn(SPLIT, F.lit(0).cast("bigint"))
+    else:
+        merged = with_splits(merged, cut, keys, "__at")
+        merged = merged.unionByName(_carried(versions, cut, keys), allowMissingColumns=True)
+    # Any split will do where there is no version to find.
+    nowhere = reduce(lambda a, b: a | b, [n.isNull() for n in [*names, F.col("__at")]])
+    spread = -1 - F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))
+    is_fact = F.col("__fact").isNotNull()
+    merged = merged.withColumn(SPLIT, F.when(is_fact & nowhere, spread).otherwise(F.col(SPLIT)))
+    # A version holds from its start on, so it comes before the facts of that instant.
+    order = [F.col("__at").asc_nulls_first(), is_fact.cast("int")]
+    so_far = Window.partitionBy(*names, SPLIT).orderBy(*order)
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = merged.withColumn("__last", F.last("__version", ignorenulls=True).over(so_far))
+    to = F.col("__last").getField("__to")
+    holds = F.col("__last").isNotNull() & (to.isNull() | (F.col("__at") < to))
+    fact = F.col("__fact")
+    return last.filter(is_fact).select(
+        *[fact.getField(c).alias(c) for c in facts.columns],
+        *[F.when(holds, F.col("__last").getField(c)).alias(c) for c in columns],
     )
 
 
-def _spread(versions: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per version and split its interval touches; split 0 where its key is not cut."""
-    ranged = left_join(
-        versions.withColumnsRenamed({f"__k_{k}": k for k in keys}), hot, keys
+def _carried(versions: DataFrame, cut: DataFrame, keys: list[str]) -> DataFrame:
+    """For each split of a cut key the last version before it, as a row that opens the split."""
+    names = [quoted(k) for k in keys]
+    last = with_splits(versions, cut, keys, "__at").filter(F.col(SPLIT) > 0)
+    last = last.groupBy(*names, SPLIT).agg(F.max_by("__version", "__at").alias("__version"))
+    numbers = F.sequence(F.lit(1).cast("bigint"), F.size("__cuts").cast("bigint") + 1)
+    every = cut.select(*names, F.explode(numbers).alias(SPLIT))
+    # A key has one row per split and one per split with versions here.
+    before = Window.partitionBy(*names).orderBy(SPLIT).rangeBetween(Window.unboundedPreceding, -1)
+    carried = every.unionByName(last, allowMissingColumns=True).withColumn(
+        "__carry", F.last("__version", ignorenulls=True).over(before)
     )
-    first = split_number(position(versions, "__from"))
-    last = split_number(position(versions, "__to"))
-    touched = F.when(
-        F.col("__lo").isNotNull(),
-        F.sequence(
-            first.cast("bigint"),
-            F.coalesce(last.cast("bigint"), F.col("__splits").cast("bigint")),
-        ),
-    ).otherwise(F.array(F.lit(0).cast("bigint")))
-    out = ranged.withColumn("__at_split", F.explode(touched)).drop("__lo", "__hi", "__splits")
-    return out.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    opening = carried.filter(F.col("__version").isNull() & F.col("__carry").isNotNull())
+    return opening.select(*names, SPLIT, F.col("__carry").alias("__version"))
 
 
 def build_history(
@@ -267,7 +276,7 @@ def build_history(
     Of several rows of one key at one time the last by ``tie_breakers`` counts. Change means
     a difference in the tracked columns, null against a value included. Keys with more than
     ``rows_per_split`` rows are cut along time (see ``operators.splits``), so their windows
-    run in many tasks.
+    run in many tasks, and their rows of one time are combined before they move.
     """
     s = Scd2Spec.of(spec)
     ties = tie_breakers or []
@@ -275,7 +284,8 @@ def build_history(
         *[quoted(c) for c in [*s.keys, *s.payload, *ties]],
         quoted(time).alias(s.valid_from),
     )
-    return _versions(_with_keys(rows, s), s, ties, rows_per_split, seeded=False)
+    rows = _with_keys(rows, s)
+    return _versions(rows, rows, s, ties, rows_per_split, seeded=False)
 
 
 def apply_changes(
@@ -310,7 +320,7 @@ def apply_changes(
         quoted(s.version).alias("__base"),
     )
     untouched = current_rows.join(touched, keys, "left_anti")
-    versions = _versions(rows.unionByName(seeds), s, ties, rows_per_split, seeded=True)
+    versions = _versions(rows.unionByName(seeds), rows, s, ties, rows_per_split, seeded=True)
     return untouched.select(*versions.columns).unionByName(versions)
 
 
@@ -318,16 +328,28 @@ LATE = "a change is not later than the start of its member's current version"
 
 
 def _versions(
-    rows: DataFrame, s: Scd2Spec, ties: list[str], rows_per_split: int, seeded: bool
+    rows: DataFrame,
+    changes: DataFrame,
+    s: Scd2Spec,
+    ties: list[str],
+    rows_per_split: int,
+    seeded: bool,
 ) -> DataFrame:
     """Number and close the versions in a feed.
 
     ``seeded`` feeds hold current rows among the changes: ``__base``, their version, marks them.
+    ``changes`` are the rows without them, which decide what is cut.
     """
     keys, start = [quoted(k) for k in s.keys], quoted(s.valid_from)
     rows = require(rows, start.isNotNull(), "null change time")
-    hot = F.broadcast(hot_keys(rows, list(s.keys), s.valid_from, rows_per_split, HOT_SHARE))
-    split = with_splits(rows, hot, list(s.keys), s.valid_from)
+    changes = require(changes, start.isNotNull(), "null change time")
+    hot = hot_keys(changes, list(s.keys), s.valid_from, rows_per_split)
+    cut = not hot.isEmpty()
+    if cut:
+        split = _one_per_time(with_splits(rows, hot, list(s.keys), s.valid_from), s, ties, seeded)
+        ties = []
+    else:
+        split = rows.withColumn(SPLIT, F.lit(0).cast("bigint"))
 
     # One shuffle by key and split serves all the windows below; they share its sort order.
     w = Window.partitionBy(*keys, SPLIT).orderBy(start, *[quoted(c) for c in ties])
@@ -342,7 +364,15 @@ def _versions(
     differs = ~F.col("__state").eqNullSafe(F.col("__before"))
     marked = ordered.withColumn("__inner", (F.col("__n") > 1) & differs)
 
-    joined = left_join(marked, _edges(marked, s, seeded), [*s.keys, SPLIT])
+    if cut:
+        joined = left_join(marked, _edges(marked, s, seeded), [*s.keys, SPLIT])
+    else:
+        joined = marked.withColumns({
+            "__opens": F.lit(None).cast("boolean"),
+            "__edge_base": F.lit(None).cast("int"),
+            "__offset": F.lit(0).cast("bigint"),
+            "__next_change": F.lit(None).cast(rows.schema[s.valid_from].dataType),
+        })
     change = F.when(F.col("__n") == 1, F.coalesce("__opens", F.lit(True)))
     offset = F.coalesce("__offset", F.lit(0))
     if seeded:
@@ -359,6 +389,20 @@ def _versions(
     return out.select(*[quoted(c) for c in [*s.keys, *s.payload, *s.metadata]])
 
 
+def _one_per_time(split: DataFrame, s: Scd2Spec, ties: list[str], seeded: bool) -> DataFrame:
+    """Of rows of one key and time the last by ``ties``, found before rows move to their key."""
+    keys, start = [quoted(k) for k in s.keys], quoted(s.valid_from)
+    latest = F.struct(*[quoted(c) for c in s.payload])
+    order = F.struct(*[quoted(c) for c in ties]) if ties else F.lit(0)
+    found = [F.max_by(latest, order).alias("__payload")]
+    if seeded:
+        found += [F.max("__base").alias("__base"), F.count(F.lit(1)).alias("__rows")]
+    grouped = split.groupBy(*keys, SPLIT, start).agg(*found)
+    if seeded:
+        grouped = require(grouped, F.col("__base").isNull() | (F.col("__rows") == 1), LATE)
+    return grouped.select(*keys, SPLIT, start, "__payload.*", *(["__base"] if seeded else []))
+
+
 def _seeds_first(timed: DataFrame, s: Scd2Spec, w: Window) -> DataFrame:
     """Fail where a change does not come after its member's current row."""
     start, seed = quoted(s.valid_from), F.col("__base").isNotNull()

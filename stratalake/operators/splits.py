@@ -1,9 +1,13 @@
 """Splitting the rows of very frequent keys, so that no key needs one task to itself.
 
 A window over a key gathers all its rows in one task. Where a key may hold a third of a
-table, its rows are first cut along their order into splits: equal ranges of the ordering
-value, numbered upwards, as many as the key's row count asks for. Windows then run per key
-*and* split, and a summary row per split carries what one split must know of the others.
+table, its rows are first cut along their order into splits, numbered upwards, at quantiles of the
+key's own values: a burst is cut as finely as its rows ask for, and stray values cost nothing.
+Windows then run per key *and* split, and a summary row per split carries what one split must
+know of the others.
+
+Quantiles come from sketches, which need not agree between two runs of one plan. They are therefore
+written once, below ``spark.checkpoint.dir``, and every use reads the same ones.
 """
 
 from __future__ import annotations
@@ -14,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.session import scratch_dir
 from stratalake.spec import quoted
 
 SPLIT = "__split"
-# A key is split only above this share of all rows, so there are fewer than 20,000 such keys
-# whatever the table's size, and the list of them is safe to broadcast.
-HOT_SHARE = 1 / 20_000
+#: A key has at most so many splits; beyond, its splits grow.
+MOST_SPLITS = 1024
+#: Quantiles asked for per split, of which the cuts are chosen.
+FINENESS = 8
 
 
 def position(df: DataFrame, column: str) -> Column:
@@ -28,9 +34,10 @@ def position(df: DataFrame, column: str) -> Column:
     if isinstance(kind, T.TimestampType):
         value = F.unix_micros(value)
     elif isinstance(kind, T.TimestampNTZType):
-        # Whole seconds of the wall clock, free of the session time zone and its gaps.
-        of_day = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
-        value = F.unix_date(value.cast("date")).cast("bigint") * 86400 + of_day
+        # Microseconds of the wall clock, free of the session time zone and its gaps.
+        minutes = F.unix_date(value.cast("date")).cast("bigint") * 1440 + F.hour(value) * 60
+        seconds = (F.date_part(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
+        value = (minutes + F.minute(value)) * 60_000_000 + seconds
     elif isinstance(kind, T.DateType):
         value = F.unix_date(value)
     elif not isinstance(kind, T.NumericType):
@@ -41,33 +48,65 @@ def position(df: DataFrame, column: str) -> Column:
 def hot_keys(
     df: DataFrame, keys: list[str], order: str, rows_per_split: int, share: float = 0.0
 ) -> DataFrame:
-    """Keys with more than ``rows_per_split`` rows and ``share`` of the table.
+    """Keys with more than ``rows_per_split`` rows and ``share`` of the table, and their ``__cuts``.
 
-    Columns: the keys, the range of the ordering value, and the number of splits. The counts
-    combine before their shuffle and read only the keys and the order.
+    A key of n splits has n - 1 cuts, in order. Both passes read only the keys and the order and
+    combine before their shuffle; the second one keeps a sketch per frequent key. Keys with a null
+    are never cut.
     """
-    where = position(df, order)
-    counts = df.groupBy(*[quoted(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("__rows"), F.min(where).alias("__lo"), F.max(where).alias("__hi")
+    names = [quoted(k) for k in keys]
+    where = df.filter(reduce(lambda a, b: a & b, [n.isNotNull() for n in names])).select(
+        *names, position(df, order).alias("__at")
     )
-    found = counts.filter(F.col("__rows") > rows_per_split)
+    found = where.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows"))
+    found = found.filter(F.col("__rows") > rows_per_split)
     if share > 0:
         total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
         found = found.filter(F.col("__rows") > total * F.lit(share))
-    splits = F.ceil(F.col("__rows") / F.lit(rows_per_split)).cast("double")
-    names = [quoted(k) for k in keys]
-    return found.select(*names, "__lo", "__hi", splits.alias("__splits"))
+    splits = F.least(F.lit(MOST_SPLITS), F.ceil(F.col("__rows") / F.lit(max(1, rows_per_split))))
+    found = _kept(found.select(*names, splits.cast("int").alias("__splits")), "hot-keys")
+    # Keys of similar size share a grid of quantiles, so a small one carries no long list.
+    grid = F.lit(FINENESS) * F.pow(F.lit(2), F.ceil(F.log2("__splits"))).cast("int")
+    found = found.withColumn("__grid", grid)
+    sizes = sorted(r[0] for r in found.select("__grid").distinct().collect())
+    if not sizes:
+        return found.select(*names, F.lit(None).cast("array<double>").alias("__cuts"))
+    sketched = where.join(found, keys).groupBy(*names, "__splits", "__grid").agg(*[
+        F.percentile_approx(
+            F.when(F.col("__grid") == size, F.col("__at")), [i / size for i in range(1, size)], 4 * size
+        ).alias(f"__grid_{size}")
+        for size in sizes
+    ])
+    values = F.coalesce(*[F.col(f"__grid_{size}") for size in sizes])
+    place = F.col("__grid") / F.col("__splits")
+    cuts = F.transform(
+        F.sequence(F.lit(1), F.col("__splits") - 1),
+        lambda n: F.get(values, F.round(n * place).cast("int") - 1),
+    )
+    cuts = F.when((F.col("__splits") > 1) & values.isNotNull(), cuts)
+    none = F.array().cast("array<double>")
+    return _kept(sketched.select(*names, F.coalesce(cuts, none).alias("__cuts")), "cuts")
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def split_number(where: Column) -> Column:
-    """The split that a position falls in, from 1; before and after the range count as its ends.
+    """The split that a position falls in, from 1; a value that is a cut ends its split.
 
-    Null where the row's key is not split.
+    Null where the row's key is not split. The cuts below the position are counted by bisection.
     """
-    lo, hi, splits = F.col("__lo"), F.col("__hi"), F.col("__splits")
-    step = F.floor((where - lo) / (hi - lo) * splits)
-    inside = F.greatest(F.lit(0), F.least(step, splits.cast("bigint") - 1)) + 1
-    return F.when(hi > lo, inside).when(lo.isNotNull(), F.lit(1))
+    cuts = F.col("__cuts")
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(MOST_SPLITS.bit_length()))])
+    below = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda n, step: F.when(F.get(cuts, n + step - 1) < where, n + step).otherwise(n),
+    )
+    return F.when(cuts.isNotNull(), below + 1)
 
 
 def with_splits(df: DataFrame, hot: DataFrame, keys: list[str], order: str) -> DataFrame:

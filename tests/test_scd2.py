@@ -303,3 +303,49 @@ def test_streams_onto_a_filled_store_skip_and_repeat_nothing(spark, tmp_path):
     late = changes("('a', 9, timestamp_ntz'2023-01-01')")
     assert deliver(late, "two") == after
     assert [r.v for r in spark.read.parquet(store.late).collect()] == [9]
+
+
+def test_a_burst_is_cut_as_finely_as_its_rows_ask_for(spark):
+    burst = spark.range(100_000).selectExpr(
+        "1 AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 0.036) AS t"
+    )
+    stray = spark.sql("SELECT 1 AS k, timestamp_ntz'1970-01-01' AS t")
+    same = spark.range(5000).selectExpr("2 AS k", "timestamp_ntz'2024-01-01' AS t")
+    few = spark.range(1000).selectExpr("cast(10 + id % 9 AS int) AS k", "timestamp_ntz'2024-01-01' AS t")
+    df = burst.unionAll(stray).unionAll(same).unionAll(few)
+    cut = splits.with_splits(df, splits.hot_keys(df, ["k"], "t", 1000), ["k"], "t")
+    sizes = cut.groupBy("k", splits.SPLIT).agg(
+        F.count("*").alias("n"), F.min("t").alias("low"), F.max("t").alias("high")
+    ).collect()
+    burst_sizes = sorted((r[splits.SPLIT], r.n, r.low, r.high) for r in sizes if r.k == 1)
+    assert len(burst_sizes) > 50 and max(n for _, n, _, _ in burst_sizes) <= 2000
+    assert all(a[3] < b[2] for a, b in zip(burst_sizes, burst_sizes[1:], strict=False))
+    assert [r.n for r in sizes if r.k == 2] == [5000]
+    assert {r[splits.SPLIT] for r in sizes if r.k >= 10} == {0}
+
+
+def test_frequent_keys_with_many_rows_of_one_time(frame):
+    spec = {"business_keys": ["k"], "tracked_columns": ["s"], "update_only_columns": ["v"]}
+    times = [datetime(2024, 1, 1) + timedelta(seconds=i // 50) for i in range(400)]
+    feed = [(1, t, i, "pq"[i * 7 % 5 % 2], i) for i, t in enumerate(times)]
+    feed += [(2, times[0], 3, "p", 1), (2, times[0], 5, None, 2)]
+    columns = ["k", "s", "valid_from", "valid_to", "version", "v"]
+    for rows_per_split in (10**6, 30, 1):
+        got = scd2.build_history(frame(FEED, *feed), spec, "t", ["o"], rows_per_split)
+        assert sorted(map(tuple, got.select(*columns).collect()), key=str) == brute_history(feed, True)
+
+
+def test_lookup_merges_facts_and_versions_without_a_join(frame):
+    spec = {"business_keys": ["k"], "tracked_columns": ["s"]}
+    dim = scd2.build_history(frame(FEED, *random_feed(6)), spec, "t", ["o"])
+    dim = frame(dim.schema, *dim.collect())
+    facts = frame("i int, k int, t timestamp_ntz, __at int, version string",
+                  *[(i, None, datetime(2024, 1, 1), i, "own") for i in range(50)])
+    found = scd2.lookup(facts, dim.withColumnRenamed("version", "ver"), spec, "t", ["ver"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, found.collect())) == [
+        (i, None, datetime(2024, 1, 1), i, "own", None) for i in range(50)
+    ]
+    assert scd2.lookup(facts.limit(0), dim, spec, "t", ["s"]).count() == 0
+    assert scd2.lookup(facts, dim.limit(0), spec, "t", ["s"], 1).filter("s IS NULL").count() == 50
