@@ -23,6 +23,8 @@ from stratalake.llm.text_bytes import LETTERS, LOWER, Hasher, bytes_of, pieces,
 
 DIMENSIONS = 2**18
 FACTORS = 4
+#: Bytes of text worked on at once: each takes some hundred bytes of arrays per word.
+PIECE = 500_000
 #: Bytes of the beginnings of words that are features, too.
 BEGINNINGS = (4, 5, 6)
 
@@ -41,9 +43,11 @@ class Machine:
 
 def summed(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of the stretches between ``bounds``, along the first axis."""
-    total = np.zeros((len(values) + 1, *values.shape[1:]))
-    np.cumsum(values, axis=0, dtype=np.float64, out=total[1:])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    out = np.zeros((len(bounds) - 1, *values.shape[1:]))
+    filled = np.flatnonzero(np.diff(bounds))
+    if len(filled):
+        out[filled] = np.add.reduceat(values, bounds[filled], axis=0, dtype=np.float64)
+    return out
 
 
 def margins(m: Machine, features: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -57,7 +61,7 @@ def features_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Sorted distinct features of each text, piece by piece, and their bounds."""
     hasher = Hasher(9)
     data, bounds = bytes_of(column)
-    for first, last in pieces(bounds):
+    for first, last in pieces(bounds, PIECE):
         text = LOWER[data[bounds[first] : bounds[last]]]
         at = bounds[first : last + 1] - bounds[first]
         starts, ends, first_word = words_in(text, at, LETTERS)
@@ -101,8 +105,11 @@ def fit(
     """
     common = np.bincount(features, minlength=DIMENSIONS) >= min_rows
     kept = common[features]
-    owner = np.repeat(np.arange(len(labels)), np.diff(bounds))[kept]
-    names, features = np.unique(features[kept], return_inverse=True)
+    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(bounds))[kept]
+    names = np.flatnonzero(common)
+    number = np.zeros(DIMENSIONS, np.int32)
+    number[names] = np.arange(len(names), dtype=np.int32)
+    features = number[features[kept]]
     bounds = np.searchsorted(owner, np.arange(len(labels) + 1))
     numbers = np.random.default_rng(9)
     n = len(names)
@@ -210,7 +217,7 @@ def train(
     lists = got["features"].combine_chunks()
     lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks)
     return fit(
-        lists.flatten().to_numpy().astype(np.int64),
+        lists.flatten().to_numpy(),
         np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]),
         got["label"].to_numpy().astype(np.float64),
         ones / rows,
