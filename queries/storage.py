@@ -16,7 +16,7 @@ from queries.registry import query, table
 from stratalake.functions.shipping import by_value
 from stratalake.operators.enforce import enforce_schema
 from stratalake.operators.quality import quality_results
-from stratalake.plans.ingest import ingest_files, ingest_table
+from stratalake.plans.ingest import IngestFailed, ingest_files, ingest_table
 from stratalake.plans.transforms import sql_transform
 from stratalake.session import scratch_dir
 from stratalake.sinks import control
@@ -446,6 +446,42 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "bronze_ingest_lenient",
+    f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority,
+      o_orderstatus, 'orders_csv' AS source_system, 2 AS refused FROM orders""",
+)
+def bronze_ingest_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file without header and one with a wrong value among the others: these load, twice tried."""
+    folder = scratch_dir(spark, "bronze-lenient")
+    inbox, options = f"{folder}/inbox", {"header": "true"}
+    orders = orders_for_files(spark, sf_dir)
+    source = {
+        "name": "orders_csv",
+        "type": "csv",
+        "connection": {"path": inbox, "file_pattern": "part-*"},
+        "schema": ORDERS,
+        "ingestion": {"mode": "incremental"},
+    }
+    wrong = orders.limit(10).coalesce(1).withColumn("o_orderkey", F.lit("none"))
+    blank = orders.limit(3).coalesce(1).select(F.lit("").alias("value"))
+    write_files(orders, inbox, "csv", "append", options)
+    write_files(wrong, inbox, "csv", "append", options)
+    blank.write.mode("append").text(inbox)
+    place = target(folder, "orders")
+    ledger = target(folder, "processed_files")
+    for _ in range(2):
+        try:
+            ingest_files(spark, source, place, NOON, ledger=ledger, fail_on_error=False)
+        except IngestFailed:  # the second run is offered the refused files only
+            pass
+    failed = spark.table(table_name({**ledger})).filter("status = 'failed'")
+    refused = failed.agg(F.countDistinct("file_path").cast("int").alias("refused")).scalar()
+    return spark.table(table_name(place)).select(
+        *ORDER_NAMES, "o_orderstatus", "source_system", refused.alias("refused")
+    )
+
+
 @query(
     "stream_ingest_files",
     "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, "

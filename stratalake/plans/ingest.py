@@ -3,7 +3,8 @@
 Files: list, drop files the ledger knows, read all of them as one DataFrame, validate in one
 aggregate, enforce, stamp, append, record. A run that dies anywhere can be repeated: files are
 announced in the ledger under their batch before the write, and the next run first looks
-whether an announced batch reached the table.
+whether an announced batch reached the table. A batch reaches it only whole: its rows are written
+beside it first, counted, and compared with what was validated.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from stratalake.session import FAILURES
 from stratalake.sinks.control import (
     PROCESSED_FILES, WATERMARKS, processed_file_rows, watermark_row,
 )
-from stratalake.sinks.tables import ensure_table, load_summary, table_name, write_table
+from stratalake.sinks.tables import (
+    RowsMissing, checked, ensure_table, load_summary, table_name, write_table,
+)
 from stratalake.sources.files import (
     READ_ERROR, SOURCE_FILE, UNTYPED, dated_paths, discover_files, read_many,
 )
@@ -33,6 +36,8 @@ from stratalake.sources.incremental import (
 from stratalake.spec import quoted
 
 STARTED, FAILED = "started", "failed"
+# How a read fails on files: in Spark, or because they have no header.
+UNREADABLE = (*FAILURES, ValueError)
 LISTED = "file_path string, path string, modified_at timestamp, length bigint"
 
 
@@ -123,7 +128,7 @@ def ingest_files(
         raw = read_many(spark, source, files, report_errors=not fail_on_error)
         verdicts = {r[SOURCE_FILE]: r for r in validate_files(raw, source).collect()}
         refused = {}
-    except FAILURES:
+    except UNREADABLE:
         if fail_on_error:
             raise
         unreadable = {f.file_path for f in _unreadable(spark, source, listed)}
@@ -152,10 +157,13 @@ def ingest_files(
         raw = read_many(spark, source, spark.createDataFrame(good, LISTED), report_errors=True)
     rows = cleansed_rows(raw, source, batch_id, at)
     ensure_table(spark, target, rows)
-    written = write_table(rows, target, write_mode)
     expected = sum(verdicts[f.file_path].rows for f in good if f.file_path in verdicts)
-    if written != expected:
-        raise IngestFailed(f"batch {batch_id}: {written} rows written, {expected} validated")
+    try:
+        with checked(rows, expected) as batch:
+            written = write_table(batch, target, write_mode)
+    except RowsMissing as missing:
+        # The table has none of them, so the next run takes the files again.
+        raise IngestFailed(f"batch {batch_id}: {missing}") from missing
     record(good, SUCCESS)
     record([f for f in listed if f.file_path in refused], FAILED)
     summary = load_summary(
@@ -329,7 +337,7 @@ def _unreadable(spark: SparkSession, source: dict[str, Any], listed: list) -> li
         files = spark.createDataFrame(listed, LISTED)
         read_many(spark, source, files, True).write.format("noop").mode("overwrite").save()
         return []
-    except FAILURES:
+    except UNREADABLE:
         if len(listed) == 1:
             return listed
     half = len(listed) // 2

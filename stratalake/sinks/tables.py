@@ -7,6 +7,8 @@ table external), ``format`` (parquet), ``partition_columns``, ``write_options``,
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 from typing import Any
 
@@ -14,9 +16,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.session import discard, scratch_dir
 from stratalake.spec import columns_of, declared_type, quoted
 
 
+class RowsMissing(RuntimeError):
+    """A batch has not as many rows as it should; its table holds none of them."""
+
+
 def table_name(target: dict[str, Any]) -> str:
     parts = [target[k] for k in ("catalog", "schema", "table") if target.get(k)]
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
@@ -71,6 +78,25 @@ def write_table(df: DataFrame, target: dict[str, Any], mode: str = "append") ->
     return seen.get["records"]
 
 
+@contextmanager
+def checked(df: DataFrame, expected: int) -> Iterator[DataFrame]:
+    """The rows, once they are known to be as many as ``expected``: else an error and none of them.
+
+    They are written below ``spark.checkpoint.dir`` and counted on the way. What a table then
+    receives are these very rows, whatever happens to their source meanwhile.
+    """
+    spark, seen = df.sparkSession, Observation()
+    path = scratch_dir(spark, "batch")
+    try:
+        df.observe(seen, F.count(F.lit(1)).alias("records")).write.parquet(path)
+        found = seen.get["records"]
+        if found != expected:
+            raise RowsMissing(f"{found} rows to write, {expected} expected")
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        discard(spark, path)
+
+
 def replace_table_as(df: DataFrame, target: dict[str, Any]) -> int:
     """Make the table hold exactly the query's result; it must not read that table."""
     return write_table(df, target, "overwrite")

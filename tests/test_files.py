@@ -544,3 +544,41 @@ def test_undeclared_json_columns_and_malformed_text_are_kept(spark, tmp_path):
     )
     found = {r.id: (r.more, r.note, r[files.READ_ERROR]) for r in rows.collect()}
     assert found == {1: ('{"x": 1}', None, None), 2: (None, "n", None), None: (None, None, "{oops")}
+
+
+def test_a_batch_that_lost_a_row_is_never_visible_and_the_next_run_loads_it(
+    spark, tmp_path, places, monkeypatch
+):
+    data, ledger = places
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "s_1.csv").write_text("id,amount\n1,2\n2,3\n")
+    assert ingest_files(spark, source(inbox), data, AT, ledger=ledger).records == 2
+    (inbox / "s_2.csv").write_text("id,amount\n3,4\n4,5\n")
+    whole = ingest.cleansed_rows
+    monkeypatch.setattr(ingest, "cleansed_rows", lambda *a: whole(*a).filter("id <> 4"))
+    with pytest.raises(IngestFailed, match="1 rows to write, 2 expected"):
+        ingest_files(spark, source(inbox), data, AT, ledger=ledger)
+    assert rows_of(spark.table(table_name(data)), "id") == [(1,), (2,)]
+    monkeypatch.undo()
+    assert ingest_files(spark, source(inbox), data, AT, ledger=ledger).records == 2
+    assert rows_of(spark.table(table_name(data)), "id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_files_without_header_are_refused_alone(spark, tmp_path, places):
+    data, ledger = places
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for n in range(4):
+        (inbox / f"{n}.csv").write_text(f"id,amount\n{n},2\n")
+    (inbox / "blank.csv").write_text("\n\n\n")
+    with gzip.open(inbox / "cut.csv.gz", "wb") as out:
+        out.write(b"id,amount\n" + b"7,1\n" * 5000)
+    (inbox / "cut.csv.gz").write_bytes((inbox / "cut.csv.gz").read_bytes()[:-15])
+    given = source(inbox)
+    given["connection"] = {"path": str(inbox), "file_pattern": "*"}
+    done = ingest_files(spark, given, data, AT, ledger=ledger, fail_on_error=False)
+    assert (done.files_processed, done.files_failed, done.records) == (4, 2, 4)
+    assert rows_of(spark.table(table_name(data)), "id") == [(0,), (1,), (2,), (3,)]
+    failed = spark.table(table_name(ledger)).filter("status = 'failed'").collect()
+    assert sorted(r.file_path.rsplit("/")[-1] for r in failed) == ["blank.csv", "cut.csv.gz"]
