@@ -28,7 +28,7 @@ PAYMENT_RULES = [
 ]
 LOCATION_RULES = [{"from": ["F", "O"], "to": "Settled"}]
 
-# The steps of the sales cleansing: checks, value mapping, derived columns.
+# The steps of the sales cleansing: checks, value mapping, derived columns. Fixed values.
 SALES_STEPS = [
     {
         "type": "data_quality_checks",
@@ -99,13 +99,16 @@ sales AS (
          o_orderstatus AS store_location
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
+# Fixed value: what an e-mail address looks like.
+EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+
 # Customers as text, with gaps and loose spellings to clean.
 CUSTOMER_COLUMNS = [
     {"name": "customer_id", "type": "string", "nullable": False},
     {"name": "customer_name", "type": "string", "nullable": False,
      "constraints": {"max_length": 255}},
     {"name": "email", "type": "string", "nullable": True,
-     "pattern": r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"},
+     "pattern": EMAIL},
     {"name": "phone", "type": "string", "nullable": True},
     {"name": "city", "type": "string", "nullable": True},
     {"name": "customer_segment", "type": "string", "nullable": True},

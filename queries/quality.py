@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.inputs import (
-    CUSTOMERS_SQL, DAILY_SALES, SALES_SQL, SALES_STEPS, customers_text, daily_sales_text,
+    CUSTOMERS_SQL, DAILY_SALES, EMAIL, SALES_SQL, SALES_STEPS, customers_text, daily_sales_text,
 )
 from queries.registry import query, table
 from stratalake.operators.enforce import enforce_schema
 from stratalake.operators.quality import (
-    GATES, profile_columns, quality_gate, quality_results, quality_summary,
+    GATES, checked_now, profile_columns, quality_gate, quality_results, quality_summary,
 )
 from stratalake.operators.validate import validate_schema
 
-# Fixed value: what a customer source accepts as an e-mail address.
-EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 RULED = {
     "columns": [
         {"name": "o_orderkey", "type": "long", "nullable": False},
@@ -252,22 +252,16 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'prod', 6, 6 - good, 0, 6 - good <= 0 FROM verdicts""",
 )
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gates of three environments over one set of results."""
-    one = quality_gate(sales_results(spark, sf_dir))
-    limits = [(name, gate["max_error_threshold"]) for name, gate in GATES.items()]
-    gates = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("environment"),
-                F.col("total_checks"),
-                F.col("failed_checks"),
-                F.lit(limit).cast("bigint").alias("max_error_threshold"),
-                (F.col("failed_checks") <= limit).alias("passed"),
-            )
-            for name, limit in limits
-        ]
-    )
-    return one.select(F.inline(gates))
+    """The gates of three environments over one set of results, a row per check, found once."""
+    rows = enforce_schema(daily_sales_text(spark, sf_dir), DAILY_SALES)
+    results = checked_now(rows, SALES_CHECKS)
+    gates = [
+        quality_gate(results, gate["max_error_threshold"]).select(
+            F.lit(name).alias("environment"), "*"
+        )
+        for name, gate in GATES.items()
+    ]
+    return reduce(DataFrame.unionAll, gates)
 
 
 @query(
