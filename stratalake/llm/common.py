@@ -61,6 +61,38 @@ def same_document(left: DataFrame, right: DataFrame) -> Column:
     return left["__id"].eqNullSafe(right["__id"]) & (left["__text"] == right["__text"])
 
 
+#: Bits of a filter by hash for every key, and the most it ever holds: 64 MiB.
+FILTER_BITS, MOST_FILTER_BITS = 64, 2**29
+#: Bits of one row of a filter, as ``bitmap_construct_agg`` has it.
+ROW_BITS = 32768
+
+
+def perhaps_among(df: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """The rows of ``df`` whose columns may be among ``keys``: all that are, and few others.
+
+    Before a large table is shuffled for a join with few keys, this leaves most of it where it is.
+    A bit for each hash, in rows that are broadcast: eight bytes a key, and never more than 64 MiB,
+    beyond which more of the other rows pass. The exact join must follow. Nulls are equal here.
+    """
+    count = max(keys.count(), 1)
+    bits = min(max(ROW_BITS, 1 << (count * FILTER_BITS - 1).bit_length()), MOST_FILTER_BITS)
+
+    def place(of: DataFrame) -> Column:
+        missing = [of[c].isNull() for c in columns]
+        return F.pmod(F.xxhash64(*missing, *[of[c] for c in columns]), F.lit(bits))
+
+    marked = keys.select(place(keys).alias("__place")).groupBy(
+        F.shiftright("__place", 15).alias("__row")
+    )
+    held = marked.agg(F.bitmap_construct_agg(F.pmod("__place", F.lit(ROW_BITS))).alias("__bits"))
+    found = df.withColumn("__place", place(df))
+    found = found.withColumn("__row", F.shiftright("__place", 15)).join(F.broadcast(held), "__row")
+    within = F.pmod("__place", F.lit(ROW_BITS))
+    byte = F.substring("__bits", F.floor(within / 8).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(within, F.lit(8)).cast("int"))
+    return found.filter(bit == 1).select(*df.columns)
+
+
 def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint for a table counted to hold at most ``rows``; larger ones get none."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

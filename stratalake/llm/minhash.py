@@ -18,6 +18,7 @@ different texts of a bucket is lost, and no pair that is not similar becomes a r
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql.types import (
 )
 
 from stratalake.functions.shipping import by_value
-from stratalake.llm.common import document_keys, same_document, stage
+from stratalake.llm.common import document_keys, perhaps_among, same_document, stage
 from stratalake.llm.components import connected
 from stratalake.llm.text_bytes import (
     LETTERS,
@@ -159,14 +160,19 @@ def first_bytes(signature: np.ndarray) -> list[bytes]:
     return [row.tobytes() for row in (mixed(bits) & np.uint64(255)).astype(np.uint8)]
 
 
-def promising(threshold: float):
-    """Keeps pairs but those whose signatures agree in far too few components.
+def least_agreement(threshold: float) -> float:
+    """Components in which two signatures of similar texts agree at least.
 
     At the threshold the number that agrees is binomial; six deviations below its mean is once in
     10 ** 8 or less.
     """
     size = BANDS * ROWS
-    least = size * threshold - 6 * np.sqrt(size * threshold * (1 - threshold))
+    return size * threshold - 6 * np.sqrt(size * threshold * (1 - threshold))
+
+
+def promising(threshold: float):
+    """Keeps pairs but those whose signatures agree in far too few components."""
+    size, least = BANDS * ROWS, least_agreement(threshold)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
@@ -179,6 +185,66 @@ def promising(threshold: float):
     return kept
 
 
+NODES = "array<struct<node: binary, root: binary>>"
+CELL = f"cell binary, left {NODES}, right {NODES}"
+
+
+def promising_cells(threshold: float):
+    """Nodes of two blocks that may be similar across components, in cells that share no pair.
+
+    A cell is a connected part of the pairs whose sizes and signatures allow the threshold, so each
+    node is in one cell a side and pairs never become rows. Equal cells have equal names.
+    """
+    least = least_agreement(threshold)
+
+    def maybe(nodes_a: list[dict], nodes_b: list[dict]) -> np.ndarray:
+        marks_a, marks_b = (
+            np.frombuffer(b"".join(n["sketch"] for n in side), np.uint8).reshape(len(side), -1)
+            for side in (nodes_a, nodes_b)
+        )
+        sizes_a, sizes_b = (np.array([n["size"] for n in side]) for side in (nodes_a, nodes_b))
+        _, roots = np.unique([n["root"].hex() for n in nodes_a + nodes_b], return_inverse=True)
+        roots_a, roots_b = roots[: len(nodes_a)], roots[len(nodes_a) :]
+        found = np.minimum.outer(sizes_a, sizes_b) >= threshold * np.maximum.outer(sizes_a, sizes_b)
+        found &= roots_a[:, None] != roots_b
+        for i in np.flatnonzero(found.any(axis=1)):
+            found[i] &= (marks_b == marks_a[i]).sum(axis=1) >= least
+        # A block meets itself: each pair once.
+        return np.triu(found) if nodes_a == nodes_b else found
+
+    def parted(nodes_a: list[dict], nodes_b: list[dict]) -> Iterator[tuple[list, list]]:
+        found = maybe(nodes_a, nodes_b)
+        rows = set(np.flatnonzero(found.any(axis=1)).tolist())
+        while rows:
+            here, there = {rows.pop()}, set()
+            wave = set(here)
+            while wave:
+                reached = set(np.flatnonzero(found[list(wave)].any(axis=0)).tolist()) - there
+                there |= reached
+                wave = set(np.flatnonzero(found[:, list(reached)].any(axis=1)).tolist()) - here
+                here |= wave
+            rows -= here
+            sides = [
+                [{k: side[i][k] for k in ("node", "root")} for i in sorted(part)]
+                for side, part in ((nodes_a, here), (nodes_b, there))
+            ]
+            yield tuple(sorted(sides, key=lambda side: [n["node"] for n in side]))
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("node", pa.binary()), ("root", pa.binary())]))
+        schema = pa.schema([("cell", pa.binary()), ("left", kind), ("right", kind)])
+        for got in batches:
+            found = []
+            for a, b in zip(got["nodes_a"], got["nodes_b"], strict=True):
+                for left, right in parted(a.as_py(), b.as_py()):
+                    name = b"|".join(b"".join(n["node"] for n in side) for side in (left, right))
+                    name = hashlib.blake2b(name, digest_size=16).digest()
+                    found.append({"cell": name, "left": left, "right": right})
+            yield pa.RecordBatch.from_pylist(found, schema)
+
+    return cells
+
+
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of letters and digits; texts without any, words of whatever is not blank."""
     starts, ends, first = words_in(data, at, LETTERS)
@@ -442,8 +508,7 @@ def linked_nodes(nodes: DataFrame, keyed: DataFrame, threshold: float) -> DataFr
     # Nodes with most company come first; among equals the greatest hash.
     company = met.groupBy("node").agg(F.sum("n").alias("company"))
     met = stage(met.join(company, "node"), "bucket-members")
-    texts = node_texts(nodes, met, keyed)
-    links = verified(best_mates(met, threshold), nodes, texts, threshold)
+    links = verified(best_mates(met, threshold), nodes, keyed, threshold)
     # A link to the root says all that the links so far say.
     roots = connected(links)
     links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -451,7 +516,7 @@ def linked_nodes(nodes: DataFrame, keyed: DataFrame, threshold: float) -> DataFr
     members = stage(open_members(rooted), "open-members")
     if not members.limit(1).count():
         return links
-    return links.unionAll(stage(block_links(members, texts, threshold), "links-of-blocks"))
+    return links.unionAll(stage(block_links(members, nodes, keyed, threshold), "links-of-blocks"))
 
 
 def open_members(rooted: DataFrame) -> DataFrame:
@@ -494,15 +559,19 @@ def open_members(rooted: DataFrame) -> DataFrame:
     )
 
 
-def block_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def block_links(
+    members: DataFrame, nodes: DataFrame, keyed: DataFrame, threshold: float
+) -> DataFrame:
     """``a, b``: links between components, from all pairs of blocks but two of the main one.
 
-    A bucket's blocks meet in slices of 16 blocks at most against all, so no bucket owns a task.
+    Signatures go through the buckets, and rule out what is far from similar. A bucket's blocks meet
+    in slices of 16 blocks at most against all, so no bucket owns a task. What is left of two blocks
+    falls into cells of nodes that may be similar; most cells come from many buckets and are kept
+    once. Only for their nodes are bags made, once, and bags decide.
     """
-    wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
-    bags_of = stage(wanted.mapInArrow(by_value(expanded_bags), "node binary, bag binary"), "bags")
-    blocks = members.join(bags_of, "node").groupBy("bucket", "main", "block", "other_blocks").agg(
-        F.collect_list(F.struct("root", "bag")).alias("nodes")
+    sketched = members.join(nodes.select("node", "size", "sketch"), "node")
+    blocks = sketched.groupBy("bucket", "main", "block", "other_blocks").agg(
+        F.sort_array(F.collect_list(F.struct("node", "root", "size", "sketch"))).alias("nodes")
     )
     blocks = stage(blocks, "blocks")
     some = blocks.filter("not main").select(
@@ -520,7 +589,20 @@ def block_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataF
         F.col("nodes").alias("nodes_b"),
     )
     pairs = some.join(every, ["bucket", "slice"]).filter("main or there >= here")
-    return pairs.select("nodes_a", "nodes_b").mapInArrow(
+    cells = pairs.select("nodes_a", "nodes_b").mapInArrow(by_value(promising_cells(threshold)), CELL)
+    cells = stage(cells.dropDuplicates(["cell"]), "cells")
+    sides = [
+        cells.select("cell", F.lit(side).alias("side"), F.inline(side)) for side in ("left", "right")
+    ]
+    sides = sides[0].unionAll(sides[1])
+    texts = node_texts(nodes, sides.select("node").distinct(), keyed)
+    bags_of = stage(texts.mapInArrow(by_value(expanded_bags), "node binary, bag binary"), "bags")
+    held = F.struct("root", "bag")
+    met = sides.join(bags_of, "node").groupBy("cell").agg(
+        F.collect_list(F.when(F.col("side") == "left", held)).alias("nodes_a"),
+        F.collect_list(F.when(F.col("side") == "right", held)).alias("nodes_b"),
+    )
+    return met.select("nodes_a", "nodes_b").mapInArrow(
         by_value(similar_blocks(threshold)), "a binary, b binary"
     )
 
@@ -544,23 +626,26 @@ def best_mates(met: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def node_texts(nodes: DataFrame, met: DataFrame, keyed: DataFrame) -> DataFrame:
-    """One text of every node that shares a bucket."""
-    rows = nodes.join(met.select("node").distinct(), "node", "left_semi").select(
+def node_texts(nodes: DataFrame, wanted: DataFrame, keyed: DataFrame) -> DataFrame:
+    """``node, text``: one text of each wanted node; few other texts move."""
+    rows = nodes.join(wanted, "node", "left_semi").select(
         "node", F.col("row.__id").alias("__id"), F.col("row.__text").alias("__text")
     )
     rows = stage(rows, "rows-of-nodes")
+    near = perhaps_among(keyed, rows, "__id", "__text")
     # Repeated rows have one text; a node needs it once.
-    found = keyed.join(rows, same_document(keyed, rows)).select("node", "text")
+    found = near.join(rows, same_document(near, rows)).select("node", "text")
     return stage(found.dropDuplicates(["node"]), "texts-of-nodes")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
     """The similar among the pairs; signatures rule out what is far from it before texts move."""
     left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
     pairs = pairs.join(left, "a").join(right, "b")
     pairs = stage(pairs.mapInArrow(by_value(promising(threshold)), "a binary, b binary"), "promising-pairs")
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
+    texts = node_texts(nodes, ends.distinct(), keyed)
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     schema = StructType(
