@@ -11,7 +11,7 @@ which a whole signature is sure to be full are ever made.
 Texts of equal words form one node. Nodes that agree in a band of the signature meet in a bucket.
 First each node is compared, shingle by shingle, with the one of all its mates that has most company;
 that connects nearly all of a group of copies. What is left are nodes that their bucket's largest
-component has not taken in. Buckets are cut into blocks of some 64 nodes, and each such node is
+component has not taken in. Buckets are cut into blocks of some 512 nodes, and each such node is
 compared with its whole bucket, two blocks at a time by a product of matrices. So no link between
 different texts of a bucket is lost, and no pair that is not similar becomes a row.
 """
@@ -57,7 +57,7 @@ BITS = 44
 #: Bytes of text that a task works on at a time: some 60 MB of arrays, whatever the batch holds.
 PIECE = 1_000_000
 #: Nodes, and shingles, that a block holds on average; blocks of a bucket that a task reads together.
-BLOCK_NODES, BLOCK_SHINGLES, SLICE_BLOCKS = 64, 2**16, 16
+BLOCK_NODES, BLOCK_SHINGLES, SLICE_BLOCKS = 512, 2**19, 4
 MATRIX_COLUMNS = 8192
 
 
@@ -565,7 +565,7 @@ def block_links(
     """``a, b``: links between components, from all pairs of blocks but two of the main one.
 
     Signatures go through the buckets, and rule out what is far from similar. A bucket's blocks meet
-    in slices of 16 blocks at most against all, so no bucket owns a task. What is left of two blocks
+    in slices of 4 blocks at most against all, so no bucket owns a task. What is left of two blocks
     falls into cells of nodes that may be similar; most cells come from many buckets and are kept
     once. Only for their nodes are bags made, once, and bags decide.
     """
