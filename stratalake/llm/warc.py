@@ -170,6 +170,12 @@ def candidates_in(data: bytes) -> Iterator[dict]:
             end = begin + int(length)
             if data[end : end + 4] == b"\r\n\r\n":
                 payload = data[begin:end]
+                stated = fields.get("x-payload-length", "")
+                stated = int(stated) if stated.isascii() and stated.isdigit() else None
+                if stated is not None and stated >= 2**63:
+                    stated = -1
+                # Only a revisit leaves out its payload; any other record's length is measured.
+                measured = fields.get("warc-type") != "revisit" or stated is None
                 yield {
                     "at": at,
                     "next": end + 4,
@@ -178,7 +184,8 @@ def candidates_in(data: bytes) -> Iterator[dict]:
                     "uri": fields.get("warc-target-uri"),
                     "refers_to": fields.get("warc-refers-to"),
                     "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha1:"),
-                    "payload_bytes": int(fields.get("x-payload-length", len(payload))),
+                    "payload_bytes": len(payload) if measured else stated,
+                    "stated_bytes": stated,
                     "block_digest": b32encode(hashlib.sha1(payload).digest()).decode(),
                     "payload": payload,
                 }
@@ -188,7 +195,7 @@ def candidates_in(data: bytes) -> Iterator[dict]:
 CANDIDATE = (
     "file string, size long, at long, next long, record_type string, record_id string, "
     "uri string, refers_to string, payload_digest string, payload_bytes long, "
-    "block_digest string, payload binary"
+    "stated_bytes long, block_digest string, payload binary"
 )
 
 
@@ -225,7 +232,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     ``file, at, record_type, record_id, uri, refers_to, payload_digest, payload_bytes``, and the
     stored ``payload`` if asked for: a revisit has none. A file whose chain of records breaks off
     before its end, a gzipped file that is cut, or a response whose payload is not what its digest
-    says, is an error.
+    or its stated length says, is an error.
     """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,14 +268,15 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
         raise ValueError(f"damaged archives, among them {bad}")
     records = found.join(reached, ["file", "at"], "left_semi")
     sound = (F.col("record_type") != "response") | (
-        F.col("payload_digest") == F.col("block_digest")
+        (F.col("payload_digest") == F.col("block_digest"))
+        & F.coalesce(F.col("stated_bytes") == F.col("payload_bytes"), F.lit(True))
     )
     records = records.withColumn(
         "payload_digest",
         F.when(sound, F.col("payload_digest")).otherwise(
-            F.raise_error(F.concat(F.lit("payload differs from its digest: "), "record_id"))
+            F.raise_error(F.concat(F.lit("payload differs from its digest or length: "), "record_id"))
         ),
-    ).drop("next", "size", "block_digest")
+    ).drop("next", "size", "block_digest", "stated_bytes")
     return records if payloads else records.drop("payload")
 
 

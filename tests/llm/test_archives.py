@@ -32,11 +32,12 @@ def test_headers_that_share_their_end():
     assert sum(1 for _ in warc.candidates_in(many + b"1\r\n\r\nz\r\n\r\n")) == 20_000
 
 
-def record(page, payload, length=None):
+def record(page, payload, length=None, stated=""):
     digest = warc.b32encode(warc.hashlib.sha1(payload).digest()).decode()
     return (
         f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{page}>\r\n"
-        f"WARC-Payload-Digest: sha1:{digest}\r\nContent-Length: {length or len(payload)}\r\n\r\n"
+        f"WARC-Payload-Digest: sha1:{digest}\r\nContent-Length: {length or len(payload)}\r\n"
+        f"{stated}\r\n"
     ).encode() + payload + b"\r\n\r\n"
 
 
@@ -75,3 +76,16 @@ def test_damaged_archives_are_errors(spark, tmp_path):
         (folder / "damaged.warc").write_bytes(content)
         with pytest.raises(ValueError, match=r"damaged archives, among them \['[^']*damaged.warc'\]"):
             pytest.fail(f"{what}: {warc.read_warc(spark, f'file://{folder}').count()} rows")
+
+
+def test_a_response_is_as_long_as_its_payload(spark, tmp_path):
+    inside = record(9, b"x", stated="X-Payload-Length: 77\r\n") + record(8, b"y", stated="X-Payload-Length: no\r\n")
+    plain = record(0, b"abc") + record(1, inside, stated=f"X-Payload-Length: {len(inside)}\r\n")
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "a.warc").write_bytes(plain)
+    found = warc.read_warc(spark, f"file://{tmp_path}/plain").collect()
+    assert {r.record_id: r.payload_bytes for r in found} == {"<urn:page:0>": 3, "<urn:page:1>": len(inside)}
+    (tmp_path / "wrong").mkdir()
+    (tmp_path / "wrong" / "a.warc").write_bytes(record(0, b"abc", stated="X-Payload-Length: 999\r\n"))
+    with pytest.raises(Exception, match="payload differs from its digest or length"):
+        warc.read_warc(spark, f"file://{tmp_path}/wrong").collect()
