@@ -8,6 +8,11 @@ exactly. The copies then move to their places in a global order by hash.
 The rates need one pass that combines per partition. There is one rate per listed source and one
 for all others together, so the table of quantiles that is broadcast is bounded by the caller's
 own list; a source with a third of all rows needs no shuffle of its own.
+
+A source with little text may need a document millions of times. A Poisson number of a large mean is
+the sum of independent ones of smaller means, so such a document becomes parts, each of a mean of at
+most ``PART_MEAN`` with a draw of its own. Parts are dealt over tasks before they become copies, so
+neither the table of quantiles nor a task's rows grow with the mean.
 """
 
 from __future__ import annotations
@@ -20,11 +25,21 @@ from pyspark.sql import functions as F
 
 OTHERS = "\x00others"
 
+#: Greatest mean that one draw inverts.
+PART_MEAN = 256.0
+
+
+def named(identifier: Column, text: Column) -> Column:
+    """What a document's draws are made from: its identifier, or without one its text."""
+    return F.coalesce(
+        identifier.cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit(""))))
+    )
+
 
-def uniform(seed: str, identifier: Column, text: Column) -> Column:
-    """52 bits of a hash as a number in [0, 1)."""
-    name = F.coalesce(identifier.cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit("")))))
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}|"), name)), 1, 13)
+def uniform(seed: str, name: Column, part: Column) -> Column:
+    """52 bits of a hash as a number in [0, 1); each part of a document has its own."""
+    of_part = F.when(part > 1, F.concat(F.lit("part "), part.cast("string"), F.lit("|"))).otherwise("")
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}|"), of_part, name)), 1, 13)
     return F.conv(digits, 16, 10).cast("long") / F.lit(float(2**52))
 
 
@@ -64,8 +79,9 @@ def mix_sources(
     ``weights`` are relative; sources that it does not list, null among them, share
     ``other_weight``. ``amount`` is the expected size of the result as a multiple of the input.
     Groups without a character are left out of the targets, and their weight goes to the rest.
-    Returns all columns of ``docs`` with ``copy`` (from 1) and ``shuffle_key``, sorted by that key
-    over all partitions. Rows without identifier draw by their text; repeated rows draw alike.
+    Returns all columns of ``docs`` with ``copy`` and ``shuffle_key``, sorted by that key over all
+    partitions. Copies of a document are numbered from 1; those of a further part start at a multiple of
+    the number of quantiles, so numbers of documents with several parts are distinct but have gaps. Rows without identifier draw by their text; repeated rows draw alike.
     Null and empty texts have no characters but are drawn like the rest of their source.
     Columns named like a result are replaced; an empty table gives an empty one.
     """
@@ -82,28 +98,45 @@ def mix_sources(
     wanted = {**weights, OTHERS: other_weight}
     present = {g: wanted[g] for g, chars in sizes.items() if chars and wanted[g] > 0}
     total, shares = sum(sizes.values()), math.fsum(present.values())
-    rates = [(g, amount * w / shares * total / sizes[g]) for g, w in present.items()]
-    quantiles = spark.createDataFrame(rates, "__group string, rate double").select(
-        "__group", poisson_cdf(F.col("rate")).alias("__cdf")
+    rates = {g: amount * w / shares * total / sizes[g] for g, w in present.items()}
+    parts = {g: max(1, math.ceil(rate / PART_MEAN)) for g, rate in rates.items()}
+    quantiles = spark.createDataFrame(
+        [(g, rate / parts[g], parts[g]) for g, rate in rates.items()],
+        "__group string, rate double, __parts long",
+    ).select("__group", "__parts", poisson_cdf(F.col("rate")).alias("__cdf"))
+    given = docs.drop("copy", "shuffle_key").withColumns(
+        {"__group": group, "__name": named(F.col(id_column), F.col(text_column))}
     )
-    draw = uniform(seed, F.col(id_column), F.col(text_column))
-    copies = F.size(F.filter("__cdf", lambda p: F.col("__draw") >= p))
-    name = F.coalesce(
-        F.col(id_column).cast("string"),
-        F.concat(F.lit("text "), F.md5(F.coalesce(text_column, F.lit("")))),
+    split = [g for g, n in parts.items() if n > 1]
+    # Sources of one part stay where they are; the rows of the others move to be copied by many tasks.
+    whole = given.filter(~F.col("__group").isin(split)).withColumn("__part", F.lit(1).cast("long"))
+    if split:
+        cut = given.filter(F.col("__group").isin(split)).join(
+            F.broadcast(quantiles.select("__group", "__parts")), "__group"
+        )
+        cut = cut.withColumn("__part", F.explode(F.sequence(F.lit(1).cast("long"), "__parts")))
+        whole = whole.unionByName(cut.drop("__parts").repartition("__name", "__part"))
+    drawn = whole.withColumn("__draw", uniform(seed, F.col("__name"), F.col("__part"))).join(
+        F.broadcast(quantiles.drop("__parts")), "__group"
     )
+    copies = F.size(F.filter("__cdf", lambda p: F.col("__draw") >= p))
+    # A part has no more copies than its quantiles, so numbers of different parts never meet.
+    first = (F.col("__part") - 1) * F.size("__cdf")
     return (
-        docs.drop("copy", "shuffle_key")
-        .withColumns({"__group": group, "__draw": draw})
-        .join(F.broadcast(quantiles), "__group")
-        .withColumn("__copies", copies)
+        drawn.withColumn("__copies", copies)
         .filter("__copies > 0")
+        .withColumn("__first", first)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        .withColumn("copy", F.col("__first") + F.col("copy"))
         .withColumn(
             "shuffle_key",
-            F.md5(F.concat(F.lit(f"{seed}|order|"), name, F.lit("|"), F.col("copy").cast("string"))),
+            F.md5(
+                F.concat(
+                    F.lit(f"{seed}|order|"), F.col("__name"), F.lit("|"), F.col("copy").cast("string")
+                )
+            ),
         )
-        .drop("__group", "__draw", "__cdf", "__copies")
+        .drop("__group", "__name", "__part", "__first", "__draw", "__cdf", "__copies")
         .repartitionByRange("shuffle_key")
         .sortWithinPartitions("shuffle_key")
     )

@@ -84,23 +84,28 @@ WITH weights AS (
   SELECT grp, weight / (SELECT sum(weight) FROM sizes JOIN weights USING (grp) WHERE chars > 0)
               * (SELECT sum(chars) FROM sizes)::DOUBLE / chars AS rate
   FROM sizes JOIN weights USING (grp) WHERE chars > 0
+), parted AS (
+  SELECT grp, greatest(1, ceil(rate / 256.0::DOUBLE))::BIGINT AS parts, rate / parts AS mean FROM rates
 ), cdf AS (
-  SELECT grp, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1)))
+  SELECT grp, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1)))
                    OVER (PARTITION BY grp ORDER BY k) AS p
-  FROM rates, range(0, 400) t(k) WHERE k <= ceil(rate + 12 * sqrt(rate) + 30)
+  FROM (SELECT *, unnest(range(0, ceil(mean + 12 * sqrt(mean) + 30)::BIGINT + 1)) AS k FROM parted)
+), steps AS (
+  SELECT grp, count(*) AS step FROM cdf GROUP BY grp
+), named AS (
+  SELECT d.*, coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, ''))) AS name,
+         unnest(range(1, parts + 1)) AS part
+  FROM docs d JOIN parted USING (grp)
 ), drawn AS (
-  SELECT *, ('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR,
-             'text ' || md5(coalesce(text, '')))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
-  FROM docs
+  SELECT *, ('0x' || substr(md5('mix|' || CASE WHEN part > 1 THEN 'part ' || part || '|' ELSE '' END
+             || name), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM named
 ), counted AS (
-  SELECT doc_id, text, source, d.grp, u, (SELECT count(*) FROM cdf c WHERE c.grp = d.grp AND u >= p)
-           AS copies
-  FROM drawn d WHERE d.grp IN (SELECT grp FROM rates)
+  SELECT d.*, step, (SELECT count(*) FROM cdf c WHERE c.grp = d.grp AND u >= p) AS copies
+  FROM drawn d JOIN steps USING (grp)
 )
-SELECT doc_id, source, text, copy::INTEGER AS copy,
-       md5('mix|order|' || coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))
-           || '|' || copy) AS shuffle_key
-FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted)
+SELECT doc_id, source, text, copy, md5('mix|order|' || name || '|' || copy) AS shuffle_key
+FROM (SELECT *, (part - 1) * step + unnest(range(1, copies + 1)) AS copy FROM counted)
 """
 
 
