@@ -16,6 +16,7 @@ from queries.registry import query, table
 from stratalake.functions.shipping import by_value
 from stratalake.operators.enforce import enforce_schema
 from stratalake.operators.quality import quality_results
+from stratalake.plans.cursors import ingest_table_overlapping
 from stratalake.plans.ingest import IngestFailed, ingest_files, ingest_table
 from stratalake.plans.transforms import sql_transform
 from stratalake.session import scratch_dir
@@ -529,3 +530,44 @@ def incremental_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table_name(place)).select(
         *orders.columns, "source_system", F.create_map(*known)[F.col("batch_id")].alias("run")
     )
+
+
+@query(
+    "incremental_table_load_late",
+    """WITH monthly AS (
+      SELECT o_orderkey, o_totalprice,
+        CASE WHEN o_orderkey % 50 <> 0 THEN cast(date_trunc('month', o_orderdate) AS date) END AS month
+      FROM orders),
+    runs AS (
+      SELECT *, CASE WHEN month < date '1997-12-01' OR month = date '1997-12-01' AND o_orderkey % 2 = 0
+          OR month IS NULL AND o_orderkey % 100 <> 0 THEN 1 ELSE 2 END AS run,
+        coalesce(month <= date '1997-12-01', true) AS early FROM monthly)
+    SELECT o_orderkey, o_totalprice, month, run,
+      count(*) FILTER (run = 2 AND early) OVER () AS late FROM runs""",
+)
+def incremental_table_load_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that come after a run with the cursor value it reached, or without one, are loaded once."""
+    folder = scratch_dir(spark, "late-load")
+    place, marks = target(folder, "orders"), target(folder, "watermarks")
+    state = target(folder, "load_state")
+    month = F.trunc("o_orderdate", "month").cast("date")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.when(F.col("o_orderkey") % 50 != 0, month).alias("month")
+    )
+    first = orders.filter(
+        "month < '1997-12-01' OR month = '1997-12-01' AND o_orderkey % 2 = 0"
+        " OR month IS NULL AND o_orderkey % 100 <> 0"
+    )
+    batches, late = {}, 0
+    for run, rows in enumerate([first, orders, orders], 1):
+        loaded = ingest_table_overlapping(
+            spark, rows, "erp", "orders", place, NOON, "month", marks, state, keys=["o_orderkey"]
+        )
+        batches.setdefault(loaded.batch_id, run)
+        late += loaded.late
+    known = [F.lit(x) for pair in batches.items() if pair[0] for x in pair]
+    return spark.table(table_name(place)).select(
+        *orders.columns,
+        F.create_map(*known)[F.col("batch_id")].alias("run"),
+        F.lit(late).cast("bigint").alias("late"),
+    )

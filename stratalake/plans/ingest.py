@@ -53,6 +53,7 @@ class Ingested:
     files_failed: int
     records: int
     summary: DataFrame
+    late: int = 0
 
 
 def validate_files(df: DataFrame, source: dict[str, Any]) -> DataFrame:
@@ -201,7 +202,7 @@ def ingest_table(
         return Ingested(SUCCESS, batch_id, 0, 0, written, summary)
 
     if cursor is None:
-        loaded = _stamped(rows, schema, source_name, "full", at)
+        loaded = stamped(rows, schema, source_name, "full", at)
         return result("full", write_table(loaded, target, "overwrite"))
     if watermarks is None:
         raise ValueError("an incremental load needs the watermarks table")
@@ -224,7 +225,7 @@ def ingest_table(
     batch = _between(rows, cursor, stored, upper, nulls)
     if upper is None and (not nulls or batch.isEmpty()):
         return result(None, 0)
-    loaded = _stamped(batch, schema, source_name, batch_id, at)
+    loaded = stamped(batch, schema, source_name, batch_id, at)
     ensure_table(spark, target, loaded)
     written = write_table(loaded, target)
     if upper is not None:
@@ -272,7 +273,8 @@ def _left_behind(spark, rows, target, cursor, stored, batch_id) -> tuple[bool, s
     return True, found.reached
 
 
-def _stamped(rows, schema, source_name, batch_id, at) -> DataFrame:
+def stamped(rows, schema, source_name, batch_id, at) -> DataFrame:
+    """Rows of a table as the raw table stores them: validated, enforced, with audit columns."""
     if schema:
         require_valid(validate_schema(rows, schema), schema.get("strict_validation", True))
         rows = enforce_schema(rows, schema)
