@@ -25,6 +25,7 @@ from stratalake.sinks.tables import (
     ensure_table, load_summary, replace_table_as, table_name, write_files, write_table,
 )
 from stratalake.sources import files as sources
+from stratalake.sources.checksums import file_checksums
 from stratalake.sources.incremental import (
     incremental_scan, latest_watermarks, next_watermark, unprocessed_files,
 )
@@ -571,3 +572,43 @@ def incremental_table_load_late(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(*known)[F.col("batch_id")].alias("run"),
         F.lit(late).cast("bigint").alias("late"),
     )
+
+
+@query(
+    "file_checksums",
+    """WITH files AS (
+      SELECT o_orderkey // 5000 AS bucket, string_agg(lpad(cast(o_orderkey AS varchar), 10, '0')
+        || '|' || o_orderpriority || chr(10), '' ORDER BY o_orderkey) AS content
+      FROM orders GROUP BY 1),
+    ranges AS (
+      SELECT bucket, content, unnest(range(0, (length(content) - 1) // 4096 + 1)) AS slot FROM files),
+    leaves AS (
+      SELECT bucket, slot, sha256(substr(content, slot * 4096 + 1, 4096)) AS digest FROM ranges),
+    first AS (
+      SELECT bucket, slot // 4 AS slot, CASE WHEN count(*) = 1 THEN min(digest)
+        ELSE sha256(string_agg(digest, '' ORDER BY slot)) END AS digest FROM leaves GROUP BY 1, 2),
+    second AS (
+      SELECT bucket, slot // 4 AS slot, CASE WHEN count(*) = 1 THEN min(digest)
+        ELSE sha256(string_agg(digest, '' ORDER BY slot)) END AS digest FROM first GROUP BY 1, 2),
+    roots AS (
+      SELECT bucket, CASE WHEN count(*) = 1 THEN min(digest)
+        ELSE sha256(string_agg(digest, '' ORDER BY slot)) END AS checksum FROM second GROUP BY 1)
+    SELECT bucket, cast(length(content) AS bigint) AS n_bytes, checksum
+    FROM files JOIN roots USING (bucket)""",
+)
+def checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of written files, each cut into ranges that different tasks read."""
+    folder = scratch_dir(spark, "checksums")
+    key = F.lpad(F.col("o_orderkey").cast("string"), 10, "0")
+    lines = table(spark, sf_dir, "orders").select(
+        F.floor(F.col("o_orderkey") / 5000).alias("bucket"),
+        F.concat(key, F.lit("|"), "o_orderpriority").alias("line"),
+    )
+    lines.repartition("bucket").sortWithinPartitions("bucket", "line").write.partitionBy(
+        "bucket"
+    ).text(folder)
+    files = sources.discover_files(spark, folder, "part-*", recursive=True)
+    bucket = F.regexp_extract("file_path", r"bucket=(\d+)/", 1).cast("long")
+    return file_checksums(spark, files, range_bytes=4096, fanout=4).join(files, "file_path").select(
+        bucket.alias("bucket"), F.col("length").alias("n_bytes"), "checksum"
+    )

@@ -27,6 +27,7 @@ from stratalake.sinks.control import (
 from stratalake.sinks.tables import (
     RowsMissing, checked, ensure_table, load_summary, table_name, write_table,
 )
+from stratalake.sources.checksums import file_checksums
 from stratalake.sources.files import (
     READ_ERROR, SOURCE_FILE, UNTYPED, dated_paths, discover_files, read_many,
 )
@@ -110,7 +111,8 @@ def ingest_files(
     """Load the new files of a source into a table.
 
     ``source``: ``name``, ``type``, ``connection`` (``path`` or ``path_pattern`` with ``day``,
-    ``file_pattern``), ``schema``, ``read_options``, ``ingestion.mode``. ``ledger`` is the
+    ``file_pattern``), ``schema``, ``read_options``, ``ingestion.mode``, ``ingestion.checksum`` (true:
+    the ledger gets each loaded file's checksum, which reads the files once more). ``ledger`` is the
     target of the processed-files table; incremental mode needs it. An invalid file stops the
     run; with ``fail_on_error`` false the others load and it is recorded as failed, to be
     offered again. ``at`` is the time written into the rows.
@@ -148,7 +150,8 @@ def ingest_files(
         if ledger and rows:
             took = (datetime.now() - began).total_seconds()
             fixed = {"batch_id": batch_id, "at": at, "environment": environment}
-            _record(spark, ledger, rows, verdicts, refused, name, status, took, fixed)
+            sums = status == SUCCESS and source.get("ingestion", {}).get("checksum", False)
+            _record(spark, ledger, rows, verdicts, refused, name, status, took, fixed, sums)
 
     if refused and (fail_on_error or not good):
         record([f for f in listed if f.file_path in refused], FAILED)
@@ -352,7 +355,7 @@ def _batch_id(files: list) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:32]
 
 
-def _record(spark, ledger, files, verdicts, refused, name, status, took, fixed) -> None:
+def _record(spark, ledger, files, verdicts, refused, name, status, took, fixed, sums) -> None:
     data = [
         (
             f.file_path,
@@ -363,8 +366,12 @@ def _record(spark, ledger, files, verdicts, refused, name, status, took, fixed)
         for f in files
     ]
     fields = "file_path string, length bigint, record_count bigint, error_message string"
+    recorded = spark.createDataFrame(data, fields)
+    if sums:
+        found = file_checksums(spark, spark.createDataFrame(files, LISTED))
+        recorded = recorded.join(found, "file_path", "left")
     rows = processed_file_rows(
-        spark.createDataFrame(data, fields),
+        recorded,
         name,
         status=status,
         duration_seconds=took,
