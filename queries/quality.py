@@ -12,10 +12,12 @@ from queries.inputs import (
 )
 from queries.registry import query, table
 from stratalake.operators.enforce import enforce_schema
+from stratalake.operators.profiles import merged_profile, profile_part
 from stratalake.operators.quality import (
     GATES, checked_now, profile_columns, quality_gate, quality_results, quality_summary,
 )
 from stratalake.operators.validate import validate_schema
+from stratalake.session import scratch_dir
 
 RULED = {
     "columns": [
@@ -287,3 +289,52 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("customer_number", F.col("customer_id").cast("bigint"))
     columns = ["email", "is_active", "customer_segment", "customer_number"]
     return profile_columns(rows, columns, exact=True)
+
+
+PROFILED = ["o_totalprice", "o_custkey", "o_orderpriority"]
+
+
+@query(
+    "profile_merged",
+    "WITH g AS (SELECT 1.01::DOUBLE / 0.99::DOUBLE AS growth), "
+    + ", ".join(
+        f"""b_{c} AS (SELECT bucket, sum(n) OVER (ORDER BY bucket) AS reached, sum(n) OVER () AS total
+        FROM (SELECT CASE WHEN {c} = 0 THEN -1000000
+                ELSE cast(ceil(ln({c}::DOUBLE) / ln(growth)) AS bigint) END AS bucket, count(*) AS n
+              FROM orders, g WHERE {c} IS NOT NULL GROUP BY 1))"""
+        for c in PROFILED[:2]
+    )
+    + " UNION ALL ".join(
+        f""" SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+        true AS distinct_near, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text,
+        min({c})::DOUBLE AS min_number, max({c})::DOUBLE AS max_number,
+        round(avg({c}::DOUBLE), 3) AS mean, """
+        + ", ".join(
+            f"""(SELECT CASE WHEN min(bucket) = -1000000 THEN 0
+              ELSE round(2 * pow(max(growth), min(bucket)) / (max(growth) + 1), 3) END FROM b_{c}, g
+            WHERE reached >= ceil(total * {q})) AS {label}"""
+            for q, label in [("0.5::DOUBLE", "median"), ("0.99::DOUBLE", "p99")]
+        )
+        + " FROM orders"
+        for c in PROFILED[:2]
+    )
+    + """ UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(o_orderpriority), true,
+        min(o_orderpriority), max(o_orderpriority), NULL, NULL, NULL, NULL, NULL FROM orders""",
+)
+def merged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads are profiled as they come, their profiles stored and merged without their rows."""
+    orders, path = table(spark, sf_dir, "orders"), scratch_dir(spark, "profiles")
+    for load in range(3):
+        rows = orders.filter(F.pmod(F.year("o_orderdate"), F.lit(3)) == load)
+        profile_part(rows, PROFILED, f"load {load}").write.mode("append").parquet(path)
+    merged = merged_profile(spark.read.parquet(path), (0.5, 0.99))
+    exact = profile_columns(orders, PROFILED, exact=True).select(
+        "column_name", F.col("distinct_count").alias("exact")
+    )
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * 0.06
+    return merged.join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", near.alias("distinct_near"), "min_text", "max_text",
+        "min_number", "max_number", F.round("mean", 3).alias("mean"),
+        F.round(F.col("quantiles")[0], 3).alias("median"),
+        F.round(F.col("quantiles")[1], 3).alias("p99"),
+    )
