@@ -282,11 +282,15 @@ def _run_alone(df: DataFrame, check: dict[str, Any]) -> list:
         return df.agg(F.count(F.lit(1)).alias("total")).select(F.inline(F.array(row))).collect()
 
 
+#: Rows whose distinct values one task holds, and values per column that any task may hold.
+ROWS_PER_TASK, FEW_VALUES = 500_000, 50_000
+
+
 def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> DataFrame:
     """Per column: rows, nulls, distinct values, min, max (as text) and mean (numeric columns).
 
-    Either way the profile is one aggregate over one scan. Distinct counts are sketches by
-    default; ``exact`` makes Spark group each column's values, combined before their shuffle.
+    Distinct counts are sketches by default, and the profile is one aggregate over one scan. With
+    ``exact``, Spark groups each column's values apart from the rest, see ``distinct_counts``.
     """
     aggs, rows = [F.count(F.lit(1)).alias("n")], []
     for i, name in enumerate(columns):
@@ -301,8 +305,8 @@ def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> D
             F.max(value).cast("string").alias(f"max{i}"),
             mean.alias(f"mean{i}"),
         ]
-        distinct = F.count_distinct if exact else F.approx_count_distinct
-        aggs.append(distinct(value).alias(f"distinct{i}"))
+        if not exact:
+            aggs.append(F.approx_count_distinct(value).alias(f"distinct{i}"))
         rows.append(
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -314,4 +318,27 @@ def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> D
                 F.col(f"mean{i}").alias("mean_value"),
             )
         )
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    found = df.agg(*aggs)
+    if exact and columns:
+        found = found.crossJoin(distinct_counts(df, columns))
+    return found.select(F.inline(F.array(*rows)))
+
+
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row with the exact number of distinct values of each column, as ``distinct0, ...``.
+
+    The values are grouped by hash with nothing beside them: least and greatest strings in the same
+    aggregate would make every task sort all its rows, once per column. A pass with sketches comes
+    first. Where a column has many values, rows are dealt out before they are grouped, so that a
+    task holds the values of some ``ROWS_PER_TASK`` rows however large the files it reads.
+    """
+    values = df.select(*[quoted(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    sizes = values.agg(
+        F.count(F.lit(1)), *[F.approx_count_distinct(c) for c in values.columns]
+    ).first()
+    tasks = -(-sizes[0] // ROWS_PER_TASK)
+    if tasks > 1 and max(sizes[1:]) > FEW_VALUES:
+        values = values.repartition(tasks, *values.columns)
+    return values.agg(
+        *[F.count_distinct(c).alias(f"distinct{i}") for i, c in enumerate(values.columns)]
+    )
