@@ -155,6 +155,21 @@ def test_removed_bytes_equal_brute_force(spark):
         )
 
 
+def test_planted_passages_go_from_400_bytes_on(spark):
+    def passage(first: int, size: int) -> str:
+        return " ".join(f"{i:06}" for i in range(first, first + 70))[:size]
+
+    planted = [passage(0, 399), passage(100, 400), passage(200, 480)]
+    assert all(len(p.split()) > 50 for p in planted)
+    rows = [(2 * i + k, f"{k}{p}{k}") for i, p in enumerate(planted) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.id: (r.n_removed, bytes(r.kept)) for r in suffix_dedup.remove_repeated_bytes(df).collect()}
+    for i, p in enumerate(planted):
+        for k in (0, 1):
+            whole, mark = f"{k}{p}{k}".encode(), str(k).encode()
+            assert found[2 * i + k] == ((0, whole) if len(p) < 400 else (len(p), mark * 2))
+
+
 def test_loser_tree_merges_runs_with_common_prefixes():
     numbers = random.Random(8)
     strings = [bytes(numbers.choice(b"ab") for _ in range(numbers.randrange(12))) for _ in range(300)]
