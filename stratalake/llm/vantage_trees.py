@@ -5,17 +5,19 @@ the rows again and again by their distance to a vantage point, by rank instead o
 vectors split, too. A node keeps the least and greatest distance of either half. By the triangle
 inequality no row of a half is nearer to a query than the gap between the query's distance and
 these bounds; the half is skipped if ``factor`` times the gap exceeds the query's k-th distance so
-far. Factor one is exact, greater ones skip more. Every block of queries meets every shard; a task
-carries a block's best rows from shard to shard, so each further tree prunes with what is known.
+far. Factor one is exact, greater ones skip more. Every block of queries meets every shard: blocks
+are dealt into groups and shards into parts, and a task gets one group and one part. It holds the
+group's best rows from shard to shard, so each further tree prunes with what is known.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.shipping import by_value
@@ -23,8 +25,10 @@ from stratalake.llm.common import stage
 
 #: Rows of a tree's leaf and of a block of queries; bytes of a shard's components.
 LEAF, QUERY_BLOCK, SHARD_BYTES = 64, 512, 4_000_000
-#: Blocks of queries whose best rows a task holds at once.
-HELD = 8
+#: Bytes of the queries and their best rows in a group, which a task holds at once.
+GROUP_BYTES = 64_000_000
+#: Bits of ``monotonically_increasing_id`` that number the rows of a task.
+ROW_BITS = 33
 #: Room for rounding, relative to the numbers that a bound is made of.
 ROUNDING = 1e-9
 
@@ -61,6 +65,13 @@ def halves(rows: int) -> list[list[tuple[int, int]]]:
     return levels
 
 
+def packed(v: np.ndarray) -> bytes:
+    """Components in four bytes each where that loses nothing, else in eight."""
+    with np.errstate(over="ignore"):
+        short = v.astype("<f4")
+    return (short if (short == v).all() else v.astype("<f8")).tobytes()
+
+
 def grown(ids: np.ndarray, v: np.ndarray) -> dict[str, bytes]:
     """A tree: rows in its order, a vantage row per node and the bounds of the node's halves."""
     order = np.arange(len(v))
@@ -78,12 +89,9 @@ def grown(ids: np.ndarray, v: np.ndarray) -> dict[str, bytes]:
             bounds.append((far[0], far[middle - 1], far[middle], far[-1]))
     place = np.empty(len(v), np.int32)
     place[order] = np.arange(len(v), dtype=np.int32)
-    with np.errstate(over="ignore"):
-        short = v.astype("<f4")
-    kind = "<f4" if (short == v).all() else "<f8"
     return {
         "ids": ids[order].astype("<i8").tobytes(),
-        "v": v[order].astype(kind).tobytes(),
+        "v": packed(v[order]),
         "vantages": place[np.asarray(vantages, int)].astype("<i4").tobytes(),
         "bounds": np.asarray(bounds, "<f8").tobytes(),
     }
@@ -178,12 +186,13 @@ def search(best: Best, ids: np.ndarray, v: np.ndarray, vantages: np.ndarray, bou
 
 def index_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One tree per shard: rows of equal length as they come, ``SHARD_BYTES`` of them or the rest."""
-    schema = pa.schema([("d", pa.int32()), *[(c, pa.binary()) for c in ("ids", "v", "vantages", "bounds")]])
+    columns = ("ids", "v", "vantages", "bounds")
+    schema = pa.schema([("d", pa.int32()), ("rows", pa.int32()), *[(c, pa.binary()) for c in columns]])
     held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
     def tree(d: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         ids, v = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.RecordBatch.from_pylist([{"d": d, **grown(ids, v)}], schema)
+        return pa.RecordBatch.from_pylist([{"d": d, "rows": len(v), **grown(ids, v)}], schema)
 
     for got in batches:
         ids, lengths = got["id"].to_numpy(), got["d"].to_numpy()
@@ -204,7 +213,7 @@ def index_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def query_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("d", pa.int32()), ("q_ids", pa.binary()), ("q_v", pa.binary())])
+    schema = pa.schema([("d", pa.int32()), ("rows", pa.int32()), ("ids", pa.binary()), ("v", pa.binary())])
     for got in batches:
         ids, lengths = got["id"].to_numpy(), got["d"].to_numpy()
         flat = got["v"].flatten().to_numpy()
@@ -214,7 +223,7 @@ def query_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(rows), QUERY_BLOCK):
                 some = rows[at : at + QUERY_BLOCK]
                 v = flat[(ends[some] - d)[:, None] + np.arange(d)]
-                row = {"d": d, "q_ids": ids[some].astype("<i8").tobytes(), "q_v": v.astype("<f8").tobytes()}
+                row = {"d": d, "rows": len(some), "ids": ids[some].astype("<i8").tobytes(), "v": packed(v)}
                 yield pa.RecordBatch.from_pylist([row], schema)
 
 
@@ -223,7 +232,8 @@ FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", p
 
 def search_trees(k: int, factor: float):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, Best] = {}
+        """Rows of a tile follow each other, its blocks of queries before its shards."""
+        tile, held = None, []
 
         def told(best: Best) -> pa.RecordBatch:
             q, rank = np.nonzero(best.there)
@@ -235,27 +245,57 @@ def search_trees(k: int, factor: float):
         for got in batches:
             for at in range(got.num_rows):
                 row = got.slice(at, 1).to_pylist()[0]
-                best = held.pop(row["q_ids"], None)
-                if best is None:
-                    best = Best(*vectors_of(row["q_ids"], row["q_v"], row["d"]), k)
-                    if len(held) == HELD:
-                        yield told(held.pop(next(iter(held))))
-                held[row["q_ids"]] = best
+                if row["tile"] != tile:
+                    yield from map(told, held)
+                    tile, held = row["tile"], []
                 ids, v = vectors_of(row["ids"], row["v"], row["d"])
+                if row["vantages"] is None:
+                    held.append(Best(ids, v, k))
+                    continue
                 vantages = np.frombuffer(row["vantages"], "<i4")
                 bounds = np.frombuffer(row["bounds"], "<f8").reshape(-1, 4)
-                search(best, ids, v, vantages, bounds, factor)
-        for best in held.values():
-            yield told(best)
+                for best in held:
+                    if best.v.shape[1] == row["d"]:
+                        search(best, ids, v, vantages, bounds, factor)
+        yield from map(told, held)
 
     return found
 
 
+def tiling(tasks: int, shards: int, blocks: int, there: int, asked: int, held: int) -> tuple[int, int]:
+    """Parts of the shards and groups of the blocks: some ``tasks`` tiles that send least.
+
+    ``asked`` is sent once for each part, ``there`` once for each group; a group takes ``held`` bytes
+    in all and ``GROUP_BYTES`` at most.
+    """
+    parts = round(math.sqrt(tasks * there / max(asked, 1)))
+    parts = max(1, min(parts, tasks, shards))
+    return parts, max(1, min(max(tasks // parts, math.ceil(held / GROUP_BYTES)), blocks))
+
+
+def nth(number: Column) -> Column:
+    """Which row of its task."""
+    return number.bitwiseAND(F.lit(2**ROW_BITS - 1))
+
+
+def dealt(number: Column, most: int, ways: int) -> Column:
+    """One of ``ways``, dealt evenly within and across tasks, which wrote ``most`` rows each or fewer."""
+    step = max(most, 1)
+    while math.gcd(step, ways) > 1:
+        step += 1
+    return F.pmod(F.shiftright(number, ROW_BITS) * step + nth(number), F.lit(ways)).cast("int")
+
+
+def every(ways: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
+
+
 def build_index(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
-    """One row per shard, written below ``spark.checkpoint.dir``: its length, rows and tree."""
+    """One row per shard, written below ``spark.checkpoint.dir``: its length, rows, tree and number."""
     sound = sound_vectors(vectors, id_column, vector_column)
-    columns = "d int, ids binary, v binary, vantages binary, bounds binary"
-    return stage(sound.mapInArrow(by_value(index_trees), columns), "vantage-trees")
+    columns = "d int, rows int, ids binary, v binary, vantages binary, bounds binary"
+    trees = sound.mapInArrow(by_value(index_trees), columns)
+    return stage(trees.withColumn("number", F.monotonically_increasing_id()), "vantage-trees")
 
 
 def nearest(
@@ -279,16 +319,34 @@ def nearest(
     if factor < 1:
         raise ValueError("a factor below one prunes less than exact search and finds the same")
     trees = build_index(vectors, id_column, vector_column)
-    # Parts are tasks: a task carries a block's best rows through all shards of its part.
-    spark = vectors.sparkSession
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, trees.count()))
     asked = sound_vectors(queries, id_column, vector_column)
     asked = asked.groupBy("id").agg(F.min("v").alias("v")).withColumn("d", F.size("v"))
-    blocks = stage(
-        asked.mapInArrow(by_value(query_blocks), "d int, q_ids binary, q_v binary"), "query-blocks"
-    )
-    pairs = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(
-        trees.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int")), ["part", "d"]
+    blocks = asked.mapInArrow(by_value(query_blocks), "d int, rows int, ids binary, v binary")
+    blocks = stage(blocks.withColumn("number", F.monotonically_increasing_id()), "query-blocks")
+
+    def summed(pieces: DataFrame, *sizes: Column) -> tuple[int, ...]:
+        sums = [F.sum(F.col("rows").cast("long") * size) for size in sizes]
+        got = pieces.agg(F.count("*"), F.max(nth(F.col("number"))) + 1, *sums).first()
+        return tuple(x or 0 for x in got)
+
+    d = F.col("d")
+    # A row is its identifier and components, a query also the ``k`` rows of three that it gets back.
+    shards, most_shards, there = summed(trees, d + 1)
+    many, most_blocks, sent, held = summed(blocks, d + 1 + 3 * k, 8 * d + 17 * k + 16)
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts, groups = tiling(tasks, shards, many, there, sent, held)
+    # A union, not a join: Spark would broadcast few blocks, counted once, and hold all their copies.
+    none = F.lit(None).cast("binary")
+    number = F.col("number")
+    asking = blocks.withColumn("group", dealt(number, most_blocks, groups)).withColumn("part", every(parts))
+    met = trees.withColumn("part", dealt(number, most_shards, parts)).withColumn("group", every(groups))
+    tiles = met.unionByName(asking.withColumns({"vantages": none, "bounds": none}))
+    pairs = (
+        tiles.withColumn("tile", F.col("group") * parts + F.col("part"))
+        .withColumn("shard", F.col("vantages").isNotNull())
+        .select("tile", "shard", "d", "ids", "v", "vantages", "bounds")
+        .repartitionById(parts * groups, F.col("tile"))
+        .sortWithinPartitions("tile", "shard")
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
