@@ -320,7 +320,10 @@ def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> D
         )
     found = df.agg(*aggs)
     if exact and columns:
-        found = found.crossJoin(distinct_counts(df, columns))
+        # One row each: a subquery, not a join.
+        counts = distinct_counts(df, columns)
+        found = found.withColumn("counts", counts.select(F.struct(*counts.columns)).scalar())
+        found = found.select("*", "counts.*")
     return found.select(F.inline(F.array(*rows)))
 
 
